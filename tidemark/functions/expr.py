@@ -53,3 +53,8 @@ def tidy(df: DataFrame, digits: int = 6, **per: int) -> DataFrame:
             return c.cast("long").alias(f.name)
         return c
     return df.select(*[fix(f) for f in df.schema.fields])
+
+
+def last_rows(df: DataFrame, date: str = "date") -> DataFrame:
+    """Rows of the latest date; the date becomes a pushed-down literal."""
+    return df.where(F.col(date) == df.select(F.max(date)).scalar())

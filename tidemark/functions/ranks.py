@@ -24,7 +24,7 @@ def value_range(x: Column) -> Column:
     return F.when(x == 0.0, F.lit(0).cast("long")).when(x > 0, mag).otherwise(-mag)
 
 
-def _direct(df: DataFrame, by: list[str], specs: dict) -> DataFrame:
+def _direct(df: DataFrame, by: list[str], specs: dict, kind: str) -> DataFrame:
     n_w = Window.partitionBy(*by)
     out = {}
     for name, (col, asc) in specs.items():
@@ -32,11 +32,14 @@ def _direct(df: DataFrame, by: list[str], specs: dict) -> DataFrame:
         w = Window.partitionBy(*by).orderBy(x.asc_nulls_last() if asc else x.desc_nulls_last())
         peers = F.count(x).over(w.rangeBetween(Window.currentRow, Window.currentRow))
         first = F.rank().over(w)
+        if kind == "min":
+            out[name] = F.when(x.isNotNull(), first.cast("long"))
+            continue
         out[name] = F.when(x.isNotNull(), (first + (peers - 1) / F.lit(2.0)) / F.count(x).over(n_w))
     return df.withColumns(out)
 
 
-def _split(df: DataFrame, by: list[str], key: list[str], specs: dict) -> DataFrame:
+def _split(df: DataFrame, by: list[str], key: list[str], specs: dict, kind: str) -> DataFrame:
     names = list(specs)
     entries = F.array(*[
         F.struct(F.lit(i).alias("m"), (F.col(specs[n][0]) if specs[n][1] else -F.col(specs[n][0])).alias("v"))
@@ -51,10 +54,10 @@ def _split(df: DataFrame, by: list[str], key: list[str], specs: dict) -> DataFra
                  .withColumn("before", F.sum("bn").over(run) - F.col("bn"))
                  .withColumn("total", F.sum("bn").over(Window.partitionBy(*by, "m"))))
     inner = Window.partitionBy(*by, "m", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (cnt.withColumn("upto", F.sum("n").over(inner))
-                 .join(ranges, [*by, "m", "b"])
-                 .select(*by, "m", "v", ((F.col("before") + F.col("upto") - F.col("n") + (F.col("n") + 1) / F.lit(2.0))
-                                         / F.col("total")).alias("pr")))
+    below = F.col("before") + F.col("upto") - F.col("n")
+    rank = below + 1 if kind == "min" else (below + (F.col("n") + 1) / F.lit(2.0)) / F.col("total")
+    ranked = (cnt.withColumn("upto", F.sum("n").over(inner)).join(ranges, [*by, "m", "b"])
+                 .select(*by, "m", "v", rank.alias("pr")))
     wide = (long.join(ranked, [*by, "m", "v"]).groupBy(*dict.fromkeys([*by, *key]))
                 .agg(*[F.max(F.when(F.col("m") == i, F.col("pr"))).alias(n) for i, n in enumerate(names)]))
     return df.join(wide, list(dict.fromkeys([*by, *key])), "left")
@@ -63,7 +66,13 @@ def _split(df: DataFrame, by: list[str], key: list[str], specs: dict) -> DataFra
 def add_pct_ranks(df: DataFrame, by: list[str], specs: dict[str, tuple[str, bool]], split: bool = False,
                   key: tuple[str, ...] = ("ticker", "date")) -> DataFrame:
     """Average-tie rank over the number of non-null values. specs: output -> (column, ascending)."""
-    return _split(df, by, list(key), specs) if split else _direct(df, by, specs)
+    return _split(df, by, list(key), specs, "pct") if split else _direct(df, by, specs, "pct")
+
+
+def add_min_ranks(df: DataFrame, by: list[str], specs: dict[str, tuple[str, bool]], split: bool = False,
+                  key: tuple[str, ...] = ("ticker", "date")) -> DataFrame:
+    """Competition rank (ties share the smallest place) among non-null values."""
+    return _split(df, by, list(key), specs, "min") if split else _direct(df, by, specs, "min")
 
 
 def add_row_number(df: DataFrame, by: list[str], value: str, tie: str, out: str, total: str,
@@ -76,12 +85,12 @@ def add_row_number(df: DataFrame, by: list[str], value: str, tie: str, out: str,
                                total: F.count(F.lit(1)).over(w)})
     df = materialise(df.withColumn("_b", value_range(F.col(value))), "row_number_in")
     run = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    ranges = (df.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
-                .withColumn("_before", F.sum("_n").over(run) - F.col("_n"))
-                .withColumn(total, F.sum("_n").over(Window.partitionBy(*by))).drop("_n"))
+    ranges = (df.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_in_range"))
+                .select(*by, "_b", (F.sum("_in_range").over(run) - F.col("_in_range")).alias("_before"),
+                        F.sum("_in_range").over(Window.partitionBy(*by)).alias(total)))
     w = Window.partitionBy(*by, "_b").orderBy(value, tie)
-    return (df.withColumn("_r", F.row_number().over(w)).join(ranges, [*by, "_b"])
-              .withColumn(out, F.col("_before") + F.col("_r")).drop("_b", "_r", "_before"))
+    return (df.withColumn("_within", F.row_number().over(w)).join(ranges, [*by, "_b"])
+              .withColumn(out, F.col("_before") + F.col("_within")).drop("_b", "_within", "_before"))
 
 
 def group_quantile(df: DataFrame, by: list[str], value: str, q: float, out: str, split: bool = False) -> DataFrame:

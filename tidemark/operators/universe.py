@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import LIMITS, Config
-from tidemark.functions.expr import change, truth
+from tidemark.functions.expr import change, last_rows, truth
 from tidemark.functions.ranks import add_pct_ranks
 
 def by_ticker():
@@ -104,13 +104,13 @@ def build_universe(feats: DataFrame, exchanges: DataFrame, industry: DataFrame,
 
 def regime_counts(e: DataFrame) -> DataFrame:
     """Rows per regime of the last date, for the universe and for the value pool."""
-    last = e.join(F.broadcast(e.agg(F.max("date").alias("date"))), "date", "left_semi")
+    last = last_rows(e)
     return last.groupBy("regime").agg(F.count(F.lit(1)).alias("n_universe"), F.count_if("value_top30").alias("n_pool"))
 
 
 def candidates(e: DataFrame, agents: DataFrame) -> DataFrame:
     """Rows of the last date per agent whose industry the agent covers (agents: id, industries[])."""
-    last = e.join(F.broadcast(e.agg(F.max("date").alias("date"))), "date", "left_semi")
+    last = last_rows(e)
     scope = agents.select(F.col("id").alias("agent"), F.explode("industries").alias("industry")).distinct()
     pct = {c: F.round(F.col(c) * 100, 1) for c in ("ret1", "ret5", "ret20", "ret60", "dist_ema50", "dist_ema200", "atr14_pct")}
     return (last.join(scope, "industry")

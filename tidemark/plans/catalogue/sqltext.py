@@ -76,7 +76,7 @@ def features(src: str = "sym", p: str = "f", extra: str = "") -> str:
    {full('max','high',10,1)} h10, {full('min','low',10,1)} l10,
    case when count(high) {old} = 10 then max(high) {old} end h20, case when count(low) {old} = 10 then min(low) {old} end l20,
    {full('avg','volume',20)} mv20, {full('avg','coalesce(turnover,0)',20,15)} liq20 from {p}7 {_W}),
-{p}eat as (select ticker, date, open, high, low, close, volume, turnover, nbars, ret1, ret5, ret20, ret60,
+{p}eat as (select ticker, date, sid, open, high, low, close, volume, turnover, nbars, ret1, ret5, ret20, ret60,
    close/ema20-1 dist_ema20, close/ema50-1 dist_ema50, close/ema200-1 dist_ema200, ema20/ema50-1 ema20_50,
    ema50/lag(ema50,10) over w - 1 ema50_slope10, tr, plus_di, minus_di, dx, ema20, ema50, ema200, atr/close atr14_pct, adx14,
    (plus_di-minus_di)/nullif(plus_di+minus_di,0) di_diff,
