@@ -143,7 +143,9 @@ def cdc_merge(ws):
     return op.cdc_merge(base(ws), recent, full, ws.cfg)[0]
 
 
-@query("S09_clean_check", chain("sym") + "\nselect 0::bigint dups, 0::bigint nonpositive, 0::bigint high_lt_low from (select count(*) from sym)")
+@query("S09_clean_check", SYM + """
+select sum(n-1)::bigint dups, sum(np)::bigint nonpositive, sum(hl)::bigint high_lt_low from (select count(*) n, count(*) filter (least(open,high,low,close) <= 0) np,
+  count(*) filter (high < low) hl from sym group by ticker, date)""")
 def clean_check(ws):
     """Hard checks before a write; raises when one fails."""
     return op.clean_counts(op.assert_clean(ws.symbols()))
@@ -236,7 +238,7 @@ def order_book_path(ws: Workspace) -> str:
     item = F.struct(F.col("o_orderkey").alias("_k"), side.alias("side"), F.lower("ticker").alias("ticker"), typ.alias("type"), lim.alias("limit"), (F.col("o_totalprice") * 1000).alias("value_vnd"),
                     F.when(side == "SELL", F.when(F.col("o_orderkey") % 3 == 0, "all").otherwise(((F.col("o_orderkey") % 50 + 1) * 100).cast("string"))).alias("qty"),
                     (lim * 0.95).alias("stop_loss"), (lim * 1.1).alias("take_profit"), (F.col("o_orderkey") % 40 + 1).alias("horizon_sessions"),
-                    F.lit("medium").alias("confidence"), F.lit(None).cast("string").alias("condition"), F.lit("rule").alias("reason"), F.array(F.lit("panel")).alias("sources"))
+                    F.lit("medium").alias("confidence"), F.lit(None).cast("string").alias("condition"), F.concat(F.lit("rule "), F.col("o_orderkey")).alias("reason"), F.array(F.lit("panel")).alias("sources"))
     b = o.groupBy("agent", "for_session", "part").agg(F.sort_array(F.collect_list(item)).alias("orders"))
     hour = F.when(F.dayofyear("for_session") % 11 == 0, 3).otherwise(1)         # 10:00 or 08:00 local
     b = b.select("agent", "for_session", F.lit("evening").alias("decided_at"), (F.col("for_session").cast("timestamp") + F.make_dt_interval(hours=hour)).alias("committed_at"),
@@ -281,13 +283,13 @@ def nonfinite(ws):
 
 @query("S17_publish_slice", livelog.LOG + """,
 r15 as (select distinct data_date from st order by 1 desc limit 15)
-select data_date, ticker, status from (select *, case when data_date < date '2001-05-01' then date '2001-10-29' else settled_on end so from st)
-where data_date in (select data_date from r15) or so = date '2001-10-29'""")
+select data_date, ticker, status from (select *, case when data_date < date '2001-05-01' and settled_on is not null then date '2001-09-03' else settled_on end so from st)
+where data_date in (select data_date from r15) or so = date '2001-09-03'""")
 def publish_slice(ws):
     """Newest fifteen dates plus rows settled on the run date."""
     early = F.col("data_date") < F.lit("2001-05-01").cast("date")
-    log = livelog.settled(ws).withColumn("settled_on", F.when(early, F.lit("2001-10-29").cast("date")).otherwise(F.col("settled_on")))
-    return sinks.publish_slice(log, "2001-10-29").select("data_date", "ticker", "status")
+    log = livelog.settled(ws).withColumn("settled_on", F.when(early & F.col("settled_on").isNotNull(), F.lit("2001-09-03").cast("date")).otherwise(F.col("settled_on")))
+    return sinks.publish_slice(log, "2001-09-03").select("data_date", "ticker", "status")
 
 
 @query("S18_replace_snapshot", SYM + """, l as (select max(date) m from sym)

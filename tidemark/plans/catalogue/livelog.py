@@ -12,7 +12,7 @@ from tidemark.plans.catalogue.sqltext import chain, pct
 from tidemark.plans.workspace import _stored, Workspace
 from tidemark.session import materialise
 
-START, SECOND = "2001-04-01", "2001-08-06"       # first logged date; dates from SECOND on arrive in a later, live batch
+START, SECOND = "2000-10-02", "2001-08-06"       # first logged date; dates from SECOND on arrive in a later, live batch
 DAY = "2001-08-06"                               # date rolled back
 BAD = "sid % 10 = 2"
 

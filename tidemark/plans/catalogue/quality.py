@@ -161,7 +161,7 @@ def event_counts(ws):
 @query("Q08_event_attribution", SYM + "," + OTHER + "," + ACTS + """,
 p as (select ticker, max(abs(o.close/s.close-1)) worst from sym s join ot o using (ticker, date) where date <= date '2001-06-30' group by 1),
 l as (select ticker, count(*) n from ac where date > date '2001-06-30' and (dividend > 0 or split > 0) group by 1)
-select count(*) filter (worst > 0.005e0 and n is not null) over_with_event, count(*) filter (worst > 0.005e0 and n is null) over_without_event, count(*) filter (not worst > 0.005e0) within
+select count(*) filter (worst > 0.005e0 and n is not null) over_with_event, count(*) filter (worst > 0.005e0 and n is null) over_without_event, count(*) filter (not worst > 0.005e0) as "within"
 from p left join l using (ticker)""")
 def event_attribution(ws):
     """Deviating tickers with and without a later corporate action."""
@@ -183,7 +183,7 @@ def compare_sources(ws):
 @query("Q10_deviation", SYM + "," + OTHER + """,
 rf as (select 'raw' ref, ticker, date, close from sym union all select 'second', ticker, date, close from ot),
 dv as (select rf.ref, ticker, abs(s.close/rf.close-1) d from rf join sym s using (ticker, date)),
-u as (select ticker, ref, count(*) n, avg((d <= 0.005e0)::int::double) within, max(d)*100 max_pct from dv group by 1, 2)\n""" + report("u", "ticker ref", "within max_pct", "n"))
+u as (select ticker, ref, count(*) n, avg((d <= 0.005e0)::int::double) as "within", max(d)*100 max_pct from dv group by 1, 2)\n""" + report("u", "ticker ref", '"within" max_pct', "n"))
 def deviation(ws):
     """Several references at once."""
     return op.deviation(ws.symbols(), {"raw": ws.symbols(), "second": other(ws)})
