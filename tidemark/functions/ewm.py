@@ -10,66 +10,62 @@ stops the job instead of returning a wrong number.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 3000
 
 
-class Smoother:
-    """Column factory for one session-ordered series per key.
+def smooth_layers(specs: list[tuple[str, str, float, int]], key: str = "ticker", order: str = "date", long_history: bool = False,
+                  block: int = BLOCK) -> list[dict[str, Column]]:
+    """Column layers that add smoothed series; a layer only reads columns of the layers before it.
 
-    The frame must hold `pos` (0-based bar number per key). Nulls may only lead a series.
+    specs: (output, input, alpha, minimum observations). The frame must hold `pos` (0-based bar number of the key) and
+    `_seen_<input>` (running non-null count, see `seen`). Nulls may only lead a series.
     """
+    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    if not long_history:
+        j = F.when(F.col("pos") < block, F.col("pos")).otherwise(
+            F.raise_error(F.lit(f"history beyond {block} sessions: set long_history=True"))).cast("double")
+        return [{o: F.when(F.col(f"_seen_{x}") >= m, _local(x, a, j, w)) for o, x, a, m in specs}]
+    part = F.floor(F.col("pos") / block)
+    j = (F.col("pos") % block).cast("double")
+    run = Window.partitionBy(key, part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    prev = Window.partitionBy(key).orderBy(part).rangeBetween(-1, -1)
+    last = F.col("pos") % block == block - 1
+    local = {f"_loc_{o}": _local(x, a, j, run) for o, x, a, _ in specs}
+    ends = {f"_end_{o}": F.sum(F.when(last, F.col(f"_loc_{o}"))).over(prev) for o, _, _, _ in specs}
+    zero = F.lit(0.0)
+    out = {o: F.when(F.col(f"_seen_{x}") >= m, F.coalesce(F.col(f"_loc_{o}"), zero) + F.pow(F.lit(1.0 - a), j + 1.0) * F.coalesce(F.col(f"_end_{o}"), zero))
+           for o, x, a, m in specs}
+    return [local, ends, out]
 
-    def __init__(self, key: str, order: str, long_history: bool = False, block: int = BLOCK):
-        self.long = long_history
-        self.block = block
-        if long_history:
-            self.part = F.floor(F.col("pos") / block)
-            self.run = Window.partitionBy(key, self.part).orderBy(order)
-            self.prev = Window.partitionBy(key).orderBy(self.part).rangeBetween(-1, -1)
-            self.j = F.col("pos") % block
-        else:
-            self.run = Window.partitionBy(key).orderBy(order)
-            self.j = F.when(F.col("pos") < block, F.col("pos")).otherwise(
-                F.raise_error(F.lit(f"history beyond {block} sessions: set long_history=True")))
-        self.all = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
 
-    def alpha(self, x: str, a: float, min_obs: int, seen: str) -> Column:
-        """Smoothed x; `seen` names the running non-null count of x."""
-        b = 1.0 - a
-        j = self.j.cast("double")
-        w = F.when(F.col(seen) == 1, F.lit(1.0)).otherwise(F.lit(a))
-        y = F.pow(F.lit(b), j) * F.sum(w * F.col(x) * F.pow(F.lit(b), -j)).over(self.run)
-        return F.when(F.col(seen) >= min_obs, y)
+def _local(x: str, a: float, j: Column, run) -> Column:
+    b = F.lit(1.0 - a)
+    weight = F.when(F.col(f"_seen_{x}") == 1, F.lit(1.0)).otherwise(F.lit(a))
+    return F.pow(b, j) * F.sum(weight * F.col(x) * F.pow(b, -j)).over(run)
 
-    def seen(self, x: str) -> Column:
-        return F.count(x).over(self.all)
 
-    def span(self, x: str, n: int, seen: str, min_obs: int | None = None) -> Column:
-        return self.alpha(x, 2.0 / (n + 1), n if min_obs is None else min_obs, seen)
+def seen(x: str, expr: Column | None = None, key: str = "ticker", order: str = "date") -> dict[str, Column]:
+    """Running non-null count of a column, or of the expression that defines it in the same layer."""
+    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return {f"_seen_{x}": F.count(F.col(x) if expr is None else expr).over(w)}
 
-    def wilder(self, x: str, n: int, seen: str) -> Column:
-        return self.alpha(x, 1.0 / n, n, seen)
 
+def apply_layers(df: DataFrame, *families: list[dict[str, Column]]) -> DataFrame:
+    """Add the layers of several column families side by side: one window pass per depth, helpers dropped at the end."""
+    made: dict[str, None] = {}
+    for k in range(max(len(f) for f in families)):
+        layer = {n: c for f in families if k < len(f) for n, c in f[k].items()}
+        made |= dict.fromkeys(layer)
+        df = df.withColumns(layer)
+    return df.drop(*[n for n in made if n.startswith("_")])
 
-def smooth(df, key: str, order: str, specs: list[tuple[str, str, float, int]], long_history: bool = False,
-           block: int = BLOCK):
-    """Add smoothed columns. specs: (output, input, alpha, minimum observations)."""
-    s = Smoother(key, order, long_history, block)
-    xs = sorted({x for _, x, _, _ in specs})
-    df = df.withColumns({f"_seen_{x}": s.seen(x) for x in xs})
-    if not long_history:
-        df = df.withColumns({o: s.alpha(x, a, m, f"_seen_{x}") for o, x, a, m in specs})
-        return df.drop(*[f"_seen_{x}" for x in xs])
-    local = {f"_loc_{o}": s.alpha(x, a, 0, f"_seen_{x}") for o, x, a, _ in specs}
-    df = df.withColumns(local)
-    last = F.col("pos") % block == block - 1
-    df = df.withColumns({f"_end_{o}": F.sum(F.when(last, F.col(f"_loc_{o}"))).over(s.prev) for o, _, _, _ in specs})
-    out = {}
-    for o, x, a, m in specs:
-        carry = F.pow(F.lit(1.0 - a), (F.col("pos") % block).cast("double") + 1.0) * F.coalesce(F.col(f"_end_{o}"), F.lit(0.0))
-        out[o] = F.when(F.col(f"_seen_{x}") >= m, F.coalesce(F.col(f"_loc_{o}"), F.lit(0.0)) + carry)
-    df = df.withColumns(out)
-    return df.drop(*[f"_seen_{x}" for x in xs], *local, *[f"_end_{o}" for o, _, _, _ in specs])
+
+def smooth(df: DataFrame, key: str, order: str, specs: list[tuple[str, str, float, int]], long_history: bool = False, block: int = BLOCK) -> DataFrame:
+    """Add smoothed columns to a frame that holds `pos`."""
+    first = {}
+    for x in sorted({x for _, x, _, _ in specs}):
+        first |= seen(x, None, key, order)
+    return apply_layers(df, [first, *smooth_layers(specs, key, order, long_history, block)])

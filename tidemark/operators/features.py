@@ -1,140 +1,167 @@
 """Point-in-time features: windows per ticker over sessions.
 
-A bar is unique per (ticker, date), so a ticker's window never exceeds the trading calendar.
-All windows share the hash on ticker: one exchange (none on a ticker-bucketed table), one sort.
+A bar is unique per (ticker, date), so a ticker's window never exceeds the trading calendar. Every family is a list of
+column layers; layers of equal depth share one window pass, so the whole feature frame costs one exchange (none on a
+ticker-bucketed table), one sort and five window passes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import Config
+from tidemark.functions.ewm import apply_layers, seen, smooth_layers
 from tidemark.functions.expr import change, ratio
-from tidemark.functions.ewm import smooth
+
+Layers = list[dict[str, Column]]
+WILDER = 1.0 / 14
+
 
 def by_ticker():
     return Window.partitionBy("ticker").orderBy("date")
 
 
-def _frame(n: int):
-    return by_ticker().rowsBetween(-(n - 1), 0)
+def _lag(c: str, n: int = 1) -> Column:
+    return F.lag(c, n).over(by_ticker())
 
 
-def _full(agg, x: str, n: int, need: int | None = None):
-    f = _frame(n)
-    return F.when(F.count(x).over(f) >= (need or n), agg(x).over(f))
+def _counts(*cols: str) -> dict[str, Column]:
+    """_n_<col>: running count of non-null values, so a frame's count is one subtraction."""
+    w = by_ticker().rowsBetween(Window.unboundedPreceding, 0)
+    return {f"_n_{c}": F.count(c).over(w) for c in cols}
 
 
-def add_position(df: DataFrame) -> DataFrame:
-    """nbars (1-based) and pos (0-based) bar number of the ticker."""
-    return df.withColumn("nbars", F.row_number().over(by_ticker()).cast("long")).withColumn("pos", F.col("nbars") - 1)
+def _between(x: str, a: int, b: int) -> Column:
+    """Non-null values from b-1 to a bars ago."""
+    upto = lambda k: F.coalesce(_lag(f"_n_{x}", k), F.lit(0)) if k else F.col(f"_n_{x}")
+    return upto(a) - upto(b)
 
 
-def add_returns(df: DataFrame, spans=(1, 5, 20, 60)) -> DataFrame:
-    return df.withColumns({f"ret{n}": change(F.col("close"), F.lag("close", n).over(by_ticker())) for n in spans})
+def _full(agg, x: str, n: int, need: int | None = None) -> Column:
+    """Aggregate of the last n bars, null below `need` non-null values."""
+    return F.when(_between(x, 0, n) >= (need or n), agg(x).over(by_ticker().rowsBetween(-(n - 1), 0)))
 
 
-def add_trend(df: DataFrame, cfg: Config) -> DataFrame:
-    """Distances to the 20/50/200-session averages, their spread and slope (needs pos)."""
-    df = smooth(df, "ticker", "date", [(f"ema{n}", "close", 2.0 / (n + 1), n) for n in (20, 50, 200)], cfg.long_history)
-    return df.withColumns({
+# ---- families ----
+def position() -> Layers:
+    n = F.row_number().over(by_ticker()).cast("long")
+    return [{"nbars": n, "pos": n - 1}]
+
+
+def returns(spans=(1, 5, 20, 60)) -> Layers:
+    return [{f"ret{n}": change(F.col("close"), _lag("close", n)) for n in spans}]
+
+
+def trend(cfg: Config) -> Layers:
+    """Distances to the 20/50/200-session averages, their spread and slope."""
+    ema = smooth_layers([(f"ema{n}", "close", 2.0 / (n + 1), n) for n in (20, 50, 200)], long_history=cfg.long_history)
+    return [seen("close"), *ema, {
         **{f"dist_ema{n}": change(F.col("close"), F.col(f"ema{n}")) for n in (20, 50, 200)},
-        "ema20_50": change(F.col("ema20"), F.col("ema50")),
-        "ema50_slope10": change(F.col("ema50"), F.lag("ema50", 10).over(by_ticker())),
-    })
+        "ema20_50": change(F.col("ema20"), F.col("ema50")), "ema50_slope10": change(F.col("ema50"), _lag("ema50", 10))}]
 
 
-def add_directional(df: DataFrame, cfg: Config) -> DataFrame:
-    """True range, directional movement, ADX and RSI, all on Wilder averages (needs pos)."""
-    pc, ph, pl = (F.lag(c).over(by_ticker()) for c in ("close", "high", "low"))
-    h, l, c = F.col("high"), F.col("low"), F.col("close")
-    df = df.withColumns({"_pc": pc, "_up": h - ph, "_dn": pl - l})
-    up, dn = F.col("_up"), F.col("_dn")
-    move = c - F.col("_pc")
-    df = df.withColumns({
-        "tr": F.greatest(h - l, F.abs(h - F.col("_pc")), F.abs(l - F.col("_pc"))),
-        "_pdm": F.when((up > dn) & (up > 0), up).otherwise(F.lit(0.0)),
-        "_mdm": F.when((dn > up) & (dn > 0), dn).otherwise(F.lit(0.0)),
-        "_gain": F.when(move.isNotNull(), F.greatest(move, F.lit(0.0))),
-        "_loss": F.when(move.isNotNull(), F.greatest(-move, F.lit(0.0))),
-    })
-    w = 1.0 / 14
-    df = smooth(df, "ticker", "date", [("_atr", "tr", w, 14), ("_p", "_pdm", w, 14), ("_m", "_mdm", w, 14),
-                                       ("_g", "_gain", w, 14), ("_l", "_loss", w, 14)], cfg.long_history)
+def directional(cfg: Config) -> Layers:
+    """True range, directional movement, ADX and RSI, all on Wilder averages."""
+    c, h, l = F.col("close"), F.col("high"), F.col("low")
+    up, dn, move = h - F.col("_ph"), F.col("_pl") - l, c - F.col("_pc")
+    base = {"tr": F.greatest(h - l, F.abs(h - F.col("_pc")), F.abs(l - F.col("_pc"))),
+            "_pdm": F.when((up > dn) & (up > 0), up).otherwise(F.lit(0.0)), "_mdm": F.when((dn > up) & (dn > 0), dn).otherwise(F.lit(0.0)),
+            "_gain": F.when(move.isNotNull(), F.greatest(move, F.lit(0.0))), "_loss": F.when(move.isNotNull(), F.greatest(-move, F.lit(0.0)))}
+    counts = {k: v for x, e in base.items() for k, v in seen(x, e).items()}
+    avg = smooth_layers([("_atr", "tr", WILDER, 14), ("_p", "_pdm", WILDER, 14), ("_m", "_mdm", WILDER, 14), ("_g", "_gain", WILDER, 14),
+                         ("_l", "_loss", WILDER, 14)], long_history=cfg.long_history)
+    plus, minus = ratio(F.lit(100.0) * F.col("_p"), "_atr"), ratio(F.lit(100.0) * F.col("_m"), "_atr")
+    dx = ratio(F.lit(100.0) * F.abs(plus - minus), plus + minus)
     g, ls = F.col("_g"), F.col("_l")
-    df = df.withColumns({"plus_di": ratio(F.lit(100.0) * F.col("_p"), "_atr"),
-                         "minus_di": ratio(F.lit(100.0) * F.col("_m"), "_atr")})
-    total = F.col("plus_di") + F.col("minus_di")
-    df = df.withColumns({
-        "atr14_pct": ratio("_atr", "close"),
-        "di_diff": ratio(F.col("plus_di") - F.col("minus_di"), total),
-        "dx": ratio(F.lit(100.0) * F.abs(F.col("plus_di") - F.col("minus_di")), total),
-        "rsi14": F.when((ls == 0) & (g > 0), F.lit(100.0))
-                  .when(ls > 0, F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + g / ls)),
-    })
-    df = smooth(df, "ticker", "date", [("adx14", "dx", w, 14)], cfg.long_history)
-    return df.drop("_pc", "_up", "_dn", "_pdm", "_mdm", "_gain", "_loss", "_atr", "_p", "_m", "_g", "_l")
+    rsi = F.when((ls == 0) & (g > 0), F.lit(100.0)).when(ls > 0, F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + g / ls))
+    return [{"_pc": _lag("close"), "_ph": _lag("high"), "_pl": _lag("low")}, {**base, **counts}, *avg,
+            {"plus_di": plus, "minus_di": minus, "dx": dx, **seen("dx", dx), "atr14_pct": ratio("_atr", "close"),
+             "di_diff": ratio(plus - minus, plus + minus), "rsi14": rsi},
+            *smooth_layers([("adx14", "dx", WILDER, 14)], long_history=cfg.long_history)]
 
 
-def add_macd(df: DataFrame, cfg: Config) -> DataFrame:
-    df = smooth(df, "ticker", "date", [("_e12", "close", 2.0 / 13, 12), ("_e26", "close", 2.0 / 27, 26)], cfg.long_history)
-    df = df.withColumn("_macd", F.col("_e12") - F.col("_e26"))
-    df = smooth(df, "ticker", "date", [("_sig", "_macd", 2.0 / 10, 9)], cfg.long_history)
-    return (df.withColumn("macd_hist", ratio(F.col("_macd") - F.col("_sig"), "close"))
-              .drop("_e12", "_e26", "_macd", "_sig"))
+def macd(cfg: Config) -> Layers:
+    line = F.col("_e12") - F.col("_e26")
+    return [seen("close"), *smooth_layers([("_e12", "close", 2.0 / 13, 12), ("_e26", "close", 2.0 / 27, 26)], long_history=cfg.long_history),
+            {"_macd": line, **seen("_macd", line)}, *smooth_layers([("_sig", "_macd", 2.0 / 10, 9)], long_history=cfg.long_history),
+            {"macd_hist": ratio(F.col("_macd") - F.col("_sig"), "close")}]
 
 
-def add_volatility(df: DataFrame) -> DataFrame:
-    """Needs ret1."""
-    return df.withColumns({f"volat{n}": _full(F.stddev_samp, "ret1", n) for n in (20, 60)})
+def volatility() -> Layers:
+    """Needs ret1 from a layer before the second."""
+    return [{}, _counts("ret1"), {f"volat{n}": _full(F.stddev_samp, "ret1", n) for n in (20, 60)}]
 
 
-def add_activity(df: DataFrame) -> DataFrame:
+def activity() -> Layers:
     """Volume against its 20-session mean (today included) and mean turnover (missing counts as 0, 15 needed)."""
-    return (df.withColumn("vol_ratio20", ratio(F.col("volume"), _full(F.avg, "volume", 20)))
-              .withColumn("_val", F.coalesce(F.col("turnover"), F.lit(0.0)))
-              .withColumn("liq20", _full(F.avg, "_val", 20, 15))
-              .withColumn("log_liq20", F.log1p("liq20")).drop("_val"))
+    return [{"_val": F.coalesce(F.col("turnover"), F.lit(0.0)), **_counts("volume"), "_n__val": F.row_number().over(by_ticker())},
+            {"_mv": _full(F.avg, "volume", 20), "liq20": _full(F.avg, "_val", 20, 15)},
+            {"vol_ratio20": ratio(F.col("volume"), "_mv"), "log_liq20": F.log1p("liq20")}]
 
 
-def add_range_position(df: DataFrame) -> DataFrame:
+def range_position() -> Layers:
     """Place in the 20/60-session range, distance to the year's extremes, close location, swing structure."""
     c, h, l = F.col("close"), F.col("high"), F.col("low")
+    older, recent = by_ticker().rowsBetween(-19, -10), by_ticker().rowsBetween(-9, 0)
     ext = {}
     for n in (20, 60):
         ext[f"_hi{n}"], ext[f"_lo{n}"] = _full(F.max, "high", n), _full(F.min, "low", n)
-    older = by_ticker().rowsBetween(-19, -10)
     ext |= {"_hi252": _full(F.max, "high", 252, 120), "_lo252": _full(F.min, "low", 252, 120),
-            "_h10": F.max("high").over(_frame(10)), "_l10": F.min("low").over(_frame(10)),
-            "_h20": F.when(F.count("high").over(older) == 10, F.max("high").over(older)),
-            "_l20": F.when(F.count("low").over(older) == 10, F.min("low").over(older))}
-    df = df.withColumns(ext)
+            "_h10": F.max("high").over(recent), "_l10": F.min("low").over(recent),
+            "_h20": F.when(_between("high", 10, 20) == 10, F.max("high").over(older)),
+            "_l20": F.when(_between("low", 10, 20) == 10, F.min("low").over(older))}
     out = {f"pos{n}": ratio(c - F.col(f"_lo{n}"), F.col(f"_hi{n}") - F.col(f"_lo{n}")) for n in (20, 60)}
-    out |= {"dd252": change(c, F.col("_hi252")), "up252": change(c, F.col("_lo252")),
-            "clv": ratio((c - l) - (h - c), h - l),
+    out |= {"dd252": change(c, F.col("_hi252")), "up252": change(c, F.col("_lo252")), "clv": ratio((c - l) - (h - c), h - l),
             "hh10": change(F.col("_h10"), F.col("_h20")), "hl10": change(F.col("_l10"), F.col("_l20"))}
-    return df.withColumns(out).drop(*ext)
-
-
-def add_features(bars: DataFrame, cfg: Config) -> DataFrame:
-    df = add_position(bars)
-    df = add_returns(df)
-    df = add_trend(df, cfg)
-    df = add_directional(df, cfg)
-    df = add_macd(df, cfg)
-    df = add_volatility(df)
-    df = add_activity(df)
-    df = add_range_position(df)
+    return [_counts("high", "low"), ext, out]
+
+
+# ---- frames ----
+def add_position(df: DataFrame) -> DataFrame:
+    """nbars (1-based) and pos (0-based) bar number of the ticker."""
+    return apply_layers(df, position())
+
+
+def add_returns(df: DataFrame, spans=(1, 5, 20, 60)) -> DataFrame:
+    return apply_layers(df, returns(spans))
+
+
+def add_trend(df: DataFrame, cfg: Config) -> DataFrame:
+    return apply_layers(df, position(), trend(cfg))
+
+
+def add_directional(df: DataFrame, cfg: Config) -> DataFrame:
+    return apply_layers(df, position(), directional(cfg))
+
+
+def add_macd(df: DataFrame, cfg: Config) -> DataFrame:
+    return apply_layers(df, position(), macd(cfg))
+
+
+def add_volatility(df: DataFrame) -> DataFrame:
+    return apply_layers(df, returns((1,)), volatility())
+
+
+def add_activity(df: DataFrame) -> DataFrame:
+    return apply_layers(df, activity())
+
+
+def add_range_position(df: DataFrame) -> DataFrame:
+    return apply_layers(df, range_position())
+
+
+def add_features(bars: DataFrame, cfg: Config, *more: Layers) -> DataFrame:
+    """All families in five window passes; `more` families ride along."""
+    df = apply_layers(bars, position(), returns(), trend(cfg), directional(cfg), macd(cfg), volatility(), activity(), range_position(), *more)
     return df.drop("ema20", "ema50", "ema200", "tr", "plus_di", "minus_di", "dx", "pos")
 
 
 def index_features(index: DataFrame, cfg: Config) -> DataFrame:
     """vni_ret5, vni_ret20, vni_dist_ema50 per date (index series: one row per date)."""
-    df = add_returns(add_position(index), (5, 20))
-    df = smooth(df, "ticker", "date", [("_e", "close", 2.0 / 51, 50)], cfg.long_history)
-    return df.select("date", F.col("ret5").alias("vni_ret5"), F.col("ret20").alias("vni_ret20"),
-                     change(F.col("close"), F.col("_e")).alias("vni_dist_ema50"))
+    ema = smooth_layers([("_e", "close", 2.0 / 51, 50)], long_history=cfg.long_history)
+    df = apply_layers(index, position(), returns((5, 20)), [seen("close"), *ema, {"vni_dist_ema50": change(F.col("close"), F.col("_e"))}])
+    return df.select("date", F.col("ret5").alias("vni_ret5"), F.col("ret20").alias("vni_ret20"), "vni_dist_ema50")
 
 
 def add_index_features(df: DataFrame, index: DataFrame, cfg: Config) -> DataFrame:
@@ -144,8 +171,7 @@ def add_index_features(df: DataFrame, index: DataFrame, cfg: Config) -> DataFram
 
 def index_outlook(index: DataFrame, cfg: Config) -> DataFrame:
     """Per date: close, change over 1/5/20 sessions, distance to EMA50 and EMA200 without a minimum history."""
-    df = add_returns(add_position(index), (1, 5, 20))
-    df = smooth(df, "ticker", "date", [("_e50", "close", 2.0 / 51, 1), ("_e200", "close", 2.0 / 201, 1)], cfg.long_history)
-    return df.select("date", "close", F.col("ret1").alias("chg1"), F.col("ret5").alias("chg5"), F.col("ret20").alias("chg20"),
-                     change(F.col("close"), F.col("_e50")).alias("dist_ema50"),
-                     change(F.col("close"), F.col("_e200")).alias("dist_ema200"))
+    ema = smooth_layers([("_e50", "close", 2.0 / 51, 1), ("_e200", "close", 2.0 / 201, 1)], long_history=cfg.long_history)
+    df = apply_layers(index, position(), returns((1, 5, 20)), [seen("close"), *ema, {
+        "dist_ema50": change(F.col("close"), F.col("_e50")), "dist_ema200": change(F.col("close"), F.col("_e200"))}])
+    return df.select("date", "close", F.col("ret1").alias("chg1"), F.col("ret5").alias("chg5"), F.col("ret20").alias("chg20"), "dist_ema50", "dist_ema200")

@@ -42,7 +42,7 @@ def visible(panel: DataFrame, now_utc: str, asof: str | None = None, close_hour:
     """Rows known as of a date; without one, today's unfinished session is hidden until the local close."""
     if asof:
         return panel.where(F.col("date") <= F.lit(asof).cast("date"))
-    local = F.from_utc_timestamp(F.lit(now_utc).cast("timestamp"), zone)
+    local = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.lit(now_utc).cast("timestamp_ntz"))
     before = F.hour(local) + F.minute(local) / 60 < close_hour
     return panel.where(~before | (F.col("date") < F.to_date(local)))
 
@@ -81,7 +81,7 @@ def business_days_between(start: Column, end: Column) -> Column:
 
 def health_checks(log: DataFrame, runs: DataFrame, now_utc: str, cfg: Config, zone: str = "Asia/Ho_Chi_Minh") -> DataFrame:
     """Business days since the last run, upper-median volume ratio of that date, and rows open for over 11 days."""
-    today = F.to_date(F.from_utc_timestamp(F.lit(now_utc).cast("timestamp"), zone))
+    today = F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), F.lit(now_utc).cast("timestamp_ntz")))
     d = runs.select(F.max("data_date")).scalar()
     one = add_row_number(log.where(F.col("data_date") == d), ["data_date"], "vol_ratio20", "ticker", "_r", "_n", cfg.split)
     med = one.where(F.col("_r") == F.floor(F.col("_n") / 2) + 1).select(F.max("vol_ratio20")).scalar()

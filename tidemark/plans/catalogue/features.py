@@ -26,20 +26,16 @@ def _reg(name: str, cols: str, build=None, **per):
     query(name, report("feat", "ticker date", cols, ctes=FEAT, **per), **per)(run)
 
 
-def _pos(ws):
-    return op.add_position(ws.symbols())
-
-
 _reg("F01_returns", "ret1 ret5 ret20 ret60", lambda ws: op.add_returns(ws.symbols()))
-_reg("F02_ema", "ema20 ema50 ema200", lambda ws: op.add_trend(_pos(ws), ws.cfg))
-_reg("F04_ema_distance", "dist_ema20 dist_ema50 dist_ema200", lambda ws: op.add_trend(_pos(ws), ws.cfg))
-_reg("F05_ema_spread_slope", "ema20_50 ema50_slope10", lambda ws: op.add_trend(_pos(ws), ws.cfg))
-_reg("F06_true_range_atr", "tr atr14_pct", lambda ws: op.add_directional(_pos(ws), ws.cfg))
-_reg("F07_directional_index", "plus_di minus_di", lambda ws: op.add_directional(_pos(ws), ws.cfg))
-_reg("F08_adx", "dx adx14 di_diff", lambda ws: op.add_directional(_pos(ws), ws.cfg))
-_reg("F09_rsi", "rsi14", lambda ws: op.add_directional(_pos(ws), ws.cfg))
-_reg("F10_macd_hist", "macd_hist", lambda ws: op.add_macd(_pos(ws), ws.cfg))
-_reg("F11_volatility", "volat20 volat60", lambda ws: op.add_volatility(op.add_returns(ws.symbols())))
+_reg("F02_ema", "ema20 ema50 ema200", lambda ws: op.add_trend(ws.symbols(), ws.cfg))
+_reg("F04_ema_distance", "dist_ema20 dist_ema50 dist_ema200", lambda ws: op.add_trend(ws.symbols(), ws.cfg))
+_reg("F05_ema_spread_slope", "ema20_50 ema50_slope10", lambda ws: op.add_trend(ws.symbols(), ws.cfg))
+_reg("F06_true_range_atr", "tr atr14_pct", lambda ws: op.add_directional(ws.symbols(), ws.cfg))
+_reg("F07_directional_index", "plus_di minus_di", lambda ws: op.add_directional(ws.symbols(), ws.cfg))
+_reg("F08_adx", "dx adx14 di_diff", lambda ws: op.add_directional(ws.symbols(), ws.cfg))
+_reg("F09_rsi", "rsi14", lambda ws: op.add_directional(ws.symbols(), ws.cfg))
+_reg("F10_macd_hist", "macd_hist", lambda ws: op.add_macd(ws.symbols(), ws.cfg))
+_reg("F11_volatility", "volat20 volat60", lambda ws: op.add_volatility(ws.symbols()))
 _reg("F12_volume_ratio", "vol_ratio20", lambda ws: op.add_activity(ws.symbols()))
 _reg("F13_liquidity", "liq20 log_liq20", lambda ws: op.add_activity(ws.symbols()))
 _reg("F14_range_position", "pos20 pos60", lambda ws: op.add_range_position(ws.symbols()))
@@ -53,7 +49,7 @@ _reg("F_all_features", "ret1 ret5 ret20 ret60 dist_ema20 dist_ema50 dist_ema200
 @query("F03_wilder", chain("feat") + ", wv as (select ticker, date, atr14_pct*close v from feat)\n" + report("wv", "ticker date", "v"))
 def wilder(ws):
     """Wilder(14) of the true range, first value at bar 14."""
-    return op.add_directional(_pos(ws), ws.cfg).select(*K, (F.col("atr14_pct") * F.col("close")).alias("v"))
+    return op.add_directional(ws.symbols(), ws.cfg).select(*K, (F.col("atr14_pct") * F.col("close")).alias("v"))
 
 
 @query("F18_bar_number", report("feat", "ticker date", ints="nbars", ctes=FEAT))

@@ -175,7 +175,7 @@ def dropped_bars(ws):
 
 def payloads(ws):
     """Provider payload per ticker: parallel arrays in units (a ticker has one entry per session at most)."""
-    s = F.sort_array(F.collect_list(F.struct(F.unix_timestamp("date").alias("t"), *[(F.col(c) * 1000).alias(c[0]) for c in OHLC], F.col("volume").alias("v"))))
+    s = F.sort_array(F.collect_list(F.struct((F.datediff("date", F.lit("1970-01-01").cast("date")).cast("long") * 86400).alias("t"), *[(F.col(c) * 1000).alias(c[0]) for c in OHLC], F.col("volume").alias("v"))))
     g = ws.symbols().groupBy("ticker").agg(s.alias("r"))
     return g.select("ticker", F.to_json(F.struct(*[F.col(f"r.{c}").alias(c) for c in "tohlcv"])).alias("payload"))
 

@@ -63,24 +63,26 @@ class Workspace:
     def raw_panel(self) -> DataFrame:
         """Bounded walk per supplier from integer column sums of lineitem, one bar per ISO week."""
         li = self.table("lineitem")
-        a = (li.groupBy(F.col("l_suppkey").alias("s"), F.date_trunc("week", "l_shipdate").cast("date").alias("d"))
+        a = (li.groupBy(F.col("l_suppkey").alias("s"), F.date_trunc("week", "l_shipdate").cast("date").alias("date"))
                .agg(F.sum(F.col("l_orderkey") * 7 + F.col("l_partkey") * 13).alias("k"), F.sum("l_partkey").alias("kp"),
                     F.sum("l_orderkey").alias("ko"), F.sum("l_linenumber").alias("kl"),
-                    F.sum("l_quantity").alias("volume"), F.sum("l_extendedprice").alias("turnover")))
-        w = Window.partitionBy("s").orderBy("d")
+                    F.sum("l_quantity").alias("volume"), F.sum("l_extendedprice").alias("turnover"))
+               .withColumn("ticker", self.code(F.col("s"))))
+        w = Window.partitionBy("ticker").orderBy("date")
+        run = w.rowsBetween(Window.unboundedPreceding, 0)
         lim = F.when(F.col("s") % 3 == 0, 0.07).when(F.col("s") % 3 == 1, 0.10).otherwise(0.15)
-        b = a.withColumn("r", ((F.col("k") % 997) / F.lit(996.0) - 0.5) * 2 * lim)
-        b = b.withColumn("close", 20.0 * F.exp(F.sum(F.ln(1 + F.col("r"))).over(w)))
+        step = F.ln(1 + ((F.col("k") % 997) / F.lit(996.0) - 0.5) * 2 * lim)
+        b = a.withColumn("close", 20.0 * F.exp(F.sum(step).over(run)))
         reach = F.when(F.col("kp") % 23 == 0, 0.11).otherwise(0.01)
         b = b.withColumn("open", F.coalesce(F.lag("close").over(w), F.lit(20.0)) * (1 + ((F.col("kp") % 201) / F.lit(100.0) - 1) * reach))
-        return b.select(self.code(F.col("s")).alias("ticker"), F.col("d").alias("date"), "open",
+        return b.select("ticker", "date", "open",
                         (F.greatest("open", "close") * (1 + (F.col("kl") % 11) / F.lit(1000.0))).alias("high"),
                         (F.least("open", "close") * (1 - (F.col("ko") % 11) / F.lit(1000.0))).alias("low"),
                         "close", "volume", "turnover", F.col("s").alias("sid"))
 
     @_stored
     def panel(self) -> DataFrame:
-        return materialise_by(self.raw_panel(), "ticker", "panel")
+        return materialise_by(self.raw_panel(), "ticker", "panel", clustered=True, buckets=max(8, self.cfg.names_bound // 500))
 
     @_stored
     def index(self) -> DataFrame:
@@ -110,9 +112,10 @@ class Workspace:
     @_stored
     def frame(self) -> DataFrame:
         """All bars of the symbols with features, index features, labels, exchange and flags."""
-        f = labels.add_labels(features.add_features(self.symbols(), self.cfg), self.cfg)
-        f = universe.add_exchange(f, self.exchanges())
-        f = features.add_index_features(universe.add_flags(f, self.cfg), self.index(), self.cfg)
+        cfg = self.cfg
+        # the small dimensions join the narrow bars: joined after the windows they would share one oversized code stage
+        bars = features.add_index_features(universe.add_exchange(self.symbols(), self.exchanges()), self.index(), cfg)
+        f = universe.add_flags(labels.add_labels(features.add_features(bars, cfg), cfg), cfg)
         return materialise(f, "frame")
 
     @_stored

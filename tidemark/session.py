@@ -47,12 +47,15 @@ def materialise(df: DataFrame, name: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialise_by(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Store hash-bucketed by one key, so later windows and joins on that key need no exchange."""
+def materialise_by(df: DataFrame, key: str, name: str, clustered: bool = False, buckets: int | None = None) -> DataFrame:
+    """Store hash-bucketed by one key, so later windows and joins on that key need no exchange.
+
+    clustered: df already left an exchange on the key, so every bucket sits in one task without another shuffle.
+    """
     spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets or 1 << 30)
     table = f"{name}_{uuid.uuid4().hex[:12]}"
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{table}"
-    (df.repartition(n, key).write.bucketBy(n, key).option("path", path)
+    ((df if clustered else df.repartition(n, key)).write.bucketBy(n, key).option("path", path)
        .format("parquet").saveAsTable(table))
     return spark.table(table)

@@ -66,10 +66,10 @@ PAYLOAD = "t array<bigint>, o array<double>, h array<double>, l array<double>, c
 
 
 def explode_payload(df: DataFrame, start: str) -> DataFrame:
-    """Provider rows (ticker, payload JSON of parallel arrays) to bars from `start` on."""
+    """Provider rows (ticker, payload JSON of parallel arrays) to bars from `start` on; epoch seconds count UTC days."""
     p = F.from_json("payload", PAYLOAD)
     z = df.select("ticker", p.alias("p")).select("ticker", F.inline(F.arrays_zip("p.t", "p.o", "p.h", "p.l", "p.c", "p.v")))
-    return (z.select("ticker", F.to_date(F.timestamp_seconds("t")).alias("date"), F.col("o").alias("open"), F.col("h").alias("high"),
+    return (z.select("ticker", F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("t") / 86400).cast("int")).alias("date"), F.col("o").alias("open"), F.col("h").alias("high"),
                      F.col("l").alias("low"), F.col("c").alias("close"), F.col("v").alias("volume"))
              .where(F.col("date") >= F.lit(start).cast("date")))
 
