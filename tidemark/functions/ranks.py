@@ -88,18 +88,18 @@ def add_row_number(df: DataFrame, by: list[str], value: str, tie: str, out: str,
         return df.withColumns({out: F.row_number().over(w.orderBy(value, tie)).cast("long"),
                                total: F.count(F.lit(1)).over(w)})
     df = materialise(df.withColumns({"_v": F.col(value) + 0.0, "_t": F.substring(F.col(tie).cast("string"), 1, 4)}), "row_number_in")
-    ties = materialise(df.groupBy(*by, "_v", "_t").agg(F.count(F.lit(1)).alias("_n")), "tie_counts")
-    vals = ties.groupBy(*by, "_v").agg(F.sum("_n").alias("_n")).withColumn("_b", value_range(F.col("_v")))
+    ties = materialise(df.groupBy(*by, "_v", "_t").agg(F.count(F.lit(1)).alias("_cnt")), "tie_counts")
+    vals = ties.groupBy(*by, "_v").agg(F.sum("_cnt").alias("_cnt")).withColumn("_b", value_range(F.col("_v")))
     vals = materialise(vals, "value_counts")
     run = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    ranges = (vals.groupBy(*by, "_b").agg(F.sum("_n").alias("_in_range"))
+    ranges = (vals.groupBy(*by, "_b").agg(F.sum("_cnt").alias("_in_range"))
                   .select(*by, "_b", (F.sum("_in_range").over(run) - F.col("_in_range")).alias("_before"),
                           F.sum("_in_range").over(Window.partitionBy(*by)).alias(total)))
     inner = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    below = (vals.withColumn("_upto", F.sum("_n").over(inner)).join(ranges, [*by, "_b"])
-                 .select(*by, "_v", total, (F.col("_before") + F.col("_upto") - F.col("_n")).alias("_below")))
+    below = (vals.withColumn("_upto", F.sum("_cnt").over(inner)).join(ranges, [*by, "_b"])
+                 .select(*by, "_v", total, (F.col("_before") + F.col("_upto") - F.col("_cnt")).alias("_below")))
     prefix = Window.partitionBy(*by, "_v").orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)     # prefixes of equal values
-    start = (ties.withColumn("_up", F.sum("_n").over(prefix) - F.col("_n")).join(below, [*by, "_v"])
+    start = (ties.withColumn("_up", F.sum("_cnt").over(prefix) - F.col("_cnt")).join(below, [*by, "_v"])
                  .select(*by, "_v", "_t", total, (F.col("_below") + F.col("_up")).alias("_start")))
     w = Window.partitionBy(*by, "_v", "_t").orderBy(tie)
     return (df.withColumn("_within", F.row_number().over(w)).join(start, [*by, "_v", "_t"])

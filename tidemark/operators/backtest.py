@@ -219,7 +219,7 @@ def variant_summary(exp: DataFrame) -> DataFrame:
     """Means over folds, folds won, eligibility, and the chosen variant (must beat the best simple rule)."""
     s = exp.groupBy("variant").agg(
         *[F.avg(c).alias(c) for c in ("net", "net_timed", "vs_random", "vs_market", "ic", "lift")],
-        F.count_if(F.col("vs_random") > 0).alias("folds_beat_rand"), F.count_if(F.col("vs_market") > 0).alias("folds_beat_mkt"))
+        F.count_if(F.col("vs_random") > NOISE).alias("folds_beat_rand"), F.count_if(F.col("vs_market") > NOISE).alias("folds_beat_mkt"))
     rule = F.col("variant").startswith("R")
     s = s.withColumn("eligible", truth((F.col("ic") > 0) & (F.col("folds_beat_rand") >= 3) & (F.col("folds_beat_mkt") >= 3)) & ~rule)
     w = Window.partitionBy(F.lit(1))              # one row per variant

@@ -273,7 +273,7 @@ def simple_rules(ws):
 
 @query("B16_variant_summary", _variants_sql() + """,
 su as (select variant, avg(net) net, avg(net_timed) net_timed, avg(vs_random) vs_random, avg(vs_market) vs_market, avg(ic) ic, avg(lift) lift,
-   count(*) filter (vs_random > 0) folds_beat_rand, count(*) filter (vs_market > 0) folds_beat_mkt from exs group by 1),
+   count(*) filter (vs_random > 1e-12) folds_beat_rand, count(*) filter (vs_market > 1e-12) folds_beat_mkt from exs group by 1),
 el as (select *, variant not like 'R%' and ic > 0 and folds_beat_rand >= 3 and folds_beat_mkt >= 3 eligible from su),
 fi as (select *, eligible and vs_market > (select max(vs_market) from su where variant like 'R%') fit from el),
 ch as (select *, coalesce(fit and variant = (select variant from fi where fit order by vs_market desc limit 1), false) chosen from fi)\n"""
