@@ -352,3 +352,31 @@ def test_exchange_bands(spark):
 
 def test_config_key_changes_with_universe():
     assert CFG.ledger_key() != CFG.but(liq_min=1.0).ledger_key() and CFG.ledger_key() == CFG.but(boot=5).ledger_key()
+
+
+# ---- whole run ----
+def test_daily_run_twice_adds_nothing(spark):
+    from tidemark.plans.catalogue.daily import hash_score, ran
+    from tidemark.plans.daily import run_daily
+    from tidemark.plans.workspace import Workspace
+    ws = Workspace(spark, "/root/testdata/sf0.001")
+    state, _ = ran(ws)
+    again, _ = run_daily(state, hash_score, ws.cfg.but(boot=50), "2001-11-12 10:00:00")
+    assert again.log.count() == state.log.count() and again.log.exceptAll(state.log).count() == 0
+    assert again.signals.count() == state.signals.count()
+
+
+def test_split_universe_equals_direct(spark):
+    from tidemark.plans.workspace import Workspace
+    ws = Workspace(spark, "/root/testdata/sf0.001")
+    f = ws.frame().drop("exch", "exch_src", "limit", "eligible", "near_ceiling", "near_floor")
+    cols = ["ticker", "date", F.round("value_score", 9), "value_top30", F.round("breadth_ema50", 9), F.round("ret5_xr", 9)]
+    a, b = (universe.build_universe(f, ws.exchanges(), ws.industry(), c).select(*cols) for c in (ws.cfg, ws.cfg.but(names_bound=10**12)))
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_hot_key_upsert(spark):
+    base = spark.createDataFrame(walk(3), BAR)
+    hot = spark.range(3000).select(F.lit("AAA").alias("ticker"), F.lit(day(1)).alias("date"), *[F.col("id").cast("double").alias(c) for c in ("open", "high", "low", "close", "volume", "turnover")], F.col("id").alias("q"))
+    got = ingest.upsert(base, hot, seq="q").where(F.col("date") == F.lit(day(1))).collect()
+    assert len(got) == 1 and got[0].close == 2999.0

@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 from tidemark.config import Config
 
 
+NOISE = 1e-12      # equal figures averaged in another order are neither above nor below each other
+
+
 def ratio(a: Column | str, b: Column | str) -> Column:
     return F.try_divide(F.col(a) if isinstance(a, str) else a, F.col(b) if isinstance(b, str) else b)
 

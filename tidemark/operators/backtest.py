@@ -11,12 +11,11 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Config
 from tidemark.functions.draws import draw32, draw_subset
-from tidemark.functions.expr import truth
+from tidemark.functions.expr import NOISE, truth
 from tidemark.functions.ranks import add_pct_ranks, add_row_number
 from tidemark.operators.selection import add_soft_score, capped_topk
 
 BANDS = [0.0, 0.2, 0.3, 0.4, 0.5, 0.6, 1.0]      # fixed values: calibration bands, right-closed
-NOISE = 1e-12      # equal baskets averaged in another order are neither above nor below each other
 
 
 def daily_basket(d: DataFrame, score: str, cfg: Config, by: tuple[str, ...] = ("date",), pool: str = "value_top30",

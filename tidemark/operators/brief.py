@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Config
 from tidemark.functions.ewm import smooth
-from tidemark.functions.expr import change, last_rows, ratio, truth
+from tidemark.functions.expr import NOISE, change, last_rows, ratio, truth
 from tidemark.operators.features import add_position, index_outlook
 
 WINDOW = 20         # fixed value: dates of the rolling health window
@@ -43,7 +43,7 @@ def health_window(ev: DataFrame, back_from: int = WINDOW - 1, back_to: int = 0,
 
 def health_state(n: Column, ic: Column, excess: Column, calib: Column) -> Column:
     """na below 20 dates; bad when both fail; watch when one fails or calibration is off by over 0.15; else ok."""
-    a, b = ic <= 0, excess <= 0
+    a, b = ic <= NOISE, excess <= NOISE
     return F.when(n < WINDOW, "na").when(a & b, "bad").when(truth(a) | truth(b) | truth(F.abs(calib) > 0.15), "watch").otherwise("ok")
 
 
@@ -82,7 +82,7 @@ def live_tiles(ev: DataFrame) -> DataFrame:
     has, sig = F.col("tn07_net").isNotNull(), F.col("tn06r_n") > 0
     n6 = F.sum(F.when(sig, F.col("tn06r_n")))
     return ev.agg(F.count(F.lit(1)).alias("n_days"), F.count_if(F.col("source") == "live").alias("n_live"), F.avg("ic").alias("ic_mean"),
-                  F.avg(F.when(F.col("ic").isNotNull(), (F.col("ic") > 0).cast("double"))).alias("ic_pos"), F.avg(F.col("tn07_net") - F.col("market_net")).alias("vs_market"),
+                  F.avg(F.when(F.col("ic").isNotNull(), (F.col("ic") > NOISE).cast("double"))).alias("ic_pos"), F.avg(F.col("tn07_net") - F.col("market_net")).alias("vs_market"),
                   F.avg(F.col("tn07_net") - F.col("pool_net")).alias("vs_random"), F.avg(F.when(has, F.col("pred_mean"))).alias("pred"), F.avg(F.when(has, F.col("tn07_hit"))).alias("hit"),
                   F.coalesce(n6, F.lit(0)).alias("n_events"), (F.sum(F.when(sig, F.col("tn06r_n") * F.col("tn06r_net"))) / n6).alias("event_net"),
                   (F.sum(F.when(sig, F.col("tn06r_n") * (F.col("tn06r_net") - F.col("market_net")))) / n6).alias("event_vs_market"))

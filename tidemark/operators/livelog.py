@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import Config
-from tidemark.functions.expr import truth
+from tidemark.functions.expr import NOISE, truth
 from tidemark.functions.ranks import add_min_ranks, add_pct_ranks
 from tidemark.operators.events import add_conditions, cooldown
 
@@ -105,7 +105,7 @@ def live_summary(ev: DataFrame) -> DataFrame:
     has, sig = F.col("tn07_net").isNotNull(), F.col("tn06r_n") > 0
     w = F.sum(F.when(sig, F.col("tn06r_n")))
     return e.groupBy("scope").agg(
-        F.count(F.lit(1)).alias("days"), F.avg("ic").alias("ic_mean"), F.avg(truth(F.col("ic") > 0).cast("double")).alias("ic_pos_days"),
+        F.count(F.lit(1)).alias("days"), F.avg("ic").alias("ic_mean"), F.avg(truth(F.col("ic") > NOISE).cast("double")).alias("ic_pos_days"),
         F.avg("tn07_net").alias("tn07_net"), F.avg(F.col("tn07_net") - F.col("market_net")).alias("tn07_vs_market"),
         F.avg(F.col("tn07_net") - F.col("pool_net")).alias("tn07_vs_random"), F.avg(F.when(has, F.col("tn07_hit"))).alias("tn07_hit"),
         F.avg(F.when(has, F.col("pred_mean"))).alias("tn07_pred_mean"), F.coalesce(w, F.lit(0)).alias("tn06r_trades"),

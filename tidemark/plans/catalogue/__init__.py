@@ -7,7 +7,7 @@ from importlib import import_module
 from tidemark.plans.catalogue.registry import ORACLES, QUERIES
 
 for _m in ("ingest", "quality", "features", "universe", "labels", "selection", "backtest", "events", "livelog", "ledger",
-           "brief", "learning", "streams"):
+           "brief", "learning", "streams", "daily"):
     try:
         import_module(f"tidemark.plans.catalogue.{_m}")
     except ModuleNotFoundError as e:

@@ -51,7 +51,7 @@ def rolling_health(ws):
 
 
 @query("D04_health_state", LE + "," + _win("h", 19, 0) + """
-select data_date, case when n < 20 then 'na' when mean_ic <= 0 and excess <= 0 then 'bad' when coalesce(mean_ic <= 0, false) or coalesce(excess <= 0, false) or coalesce(abs(calib) > 0.15e0, false)
+select data_date, case when n < 20 then 'na' when mean_ic <= 1e-12 and excess <= 1e-12 then 'bad' when coalesce(mean_ic <= 1e-12, false) or coalesce(excess <= 1e-12, false) or coalesce(abs(calib) > 0.15e0, false)
   then 'watch' else 'ok' end state from h""")
 def health_state(ws):
     """State of the model by fixed rules."""
@@ -86,7 +86,7 @@ def track_curves(ws):
 
 
 @query("D08_live_tiles", LE + """,
-u as (select count(*) n_days, count(*) filter (source = 'live') n_live, avg(ic) ic_mean, avg((ic > 0)::int::double) ic_pos, avg(tn07_net-market_net) vs_market, avg(tn07_net-pool_net) vs_random,
+u as (select count(*) n_days, count(*) filter (source = 'live') n_live, avg(ic) ic_mean, avg((ic > 1e-12)::int::double) ic_pos, avg(tn07_net-market_net) vs_market, avg(tn07_net-pool_net) vs_random,
    avg(pred_mean) filter (tn07_net is not null) pred, avg(tn07_hit) filter (tn07_net is not null) hit, coalesce(sum(tn06r_n) filter (tn06r_n > 0), 0) n_events,
    sum(tn06r_n*tn06r_net) filter (tn06r_n > 0)/sum(tn06r_n) filter (tn06r_n > 0) event_net, sum(tn06r_n*(tn06r_net-market_net)) filter (tn06r_n > 0)/sum(tn06r_n) filter (tn06r_n > 0) event_vs_market
    from le)\n""" + report("u", "", "ic_mean ic_pos vs_market vs_random pred hit event_net event_vs_market", "n_days n_live n_events"))

@@ -166,7 +166,7 @@ def live_evaluation(ws):
 
 @query("V10_live_summary", LOG + "," + EVAL + """,
 ls0 as (select 'all' scope, * from le union all select 'live', * from le where source = 'live'),
-ls as (select scope, count(*) as days, avg(ic) ic_mean, avg(coalesce(ic > 0, false)::int::double) ic_pos_days, avg(tn07_net) tn07_net, avg(tn07_net-market_net) tn07_vs_market,
+ls as (select scope, count(*) as days, avg(ic) ic_mean, avg(coalesce(ic > 1e-12, false)::int::double) ic_pos_days, avg(tn07_net) tn07_net, avg(tn07_net-market_net) tn07_vs_market,
    avg(tn07_net-pool_net) tn07_vs_random, avg(tn07_hit) filter (tn07_net is not null) tn07_hit, avg(pred_mean) filter (tn07_net is not null) tn07_pred_mean,
    coalesce(sum(tn06r_n) filter (tn06r_n > 0), 0) tn06r_trades, sum(tn06r_n*tn06r_net) filter (tn06r_n > 0)/sum(tn06r_n) filter (tn06r_n > 0) tn06r_net,
    sum(tn06r_n*(tn06r_net-market_net)) filter (tn06r_n > 0)/sum(tn06r_n) filter (tn06r_n > 0) tn06r_vs_market from ls0 group by 1)\n"""
