@@ -380,3 +380,20 @@ def test_hot_key_upsert(spark):
     hot = spark.range(3000).select(F.lit("AAA").alias("ticker"), F.lit(day(1)).alias("date"), *[F.col("id").cast("double").alias(c) for c in ("open", "high", "low", "close", "volume", "turnover")], F.col("id").alias("q"))
     got = ingest.upsert(base, hot, seq="q").where(F.col("date") == F.lit(day(1))).collect()
     assert len(got) == 1 and got[0].close == 2999.0
+
+
+def test_partitioned_merge_equals_batch_merge(spark, tmp_path):
+    from tidemark.streaming import jobs
+    bars = walk(405, 2, ("AAA", "BBB", "CCC"))
+    base = spark.createDataFrame([r for r in bars if r[1] < day(400)] + [("OLD", dt.date(2020, 1, 6), 1.0, 1.0, 1.0, 1.0, 1.0, 1.0)] + [("OLD", day(i), 1.0, 1.0, 1.0, 1.0, 1.0, 1.0) for i in range(300)], BAR)
+    k = {"AAA": 0.9, "BBB": 0.9, "CCC": 1.0}
+    rows = [(t, d, *[x * k[t] for x in p], v, w) for t, d, *p, v, w in bars if t == "AAA" or d > day(380)]
+    rows += [("OLD", day(i), 2.0, 2.0, 2.0, 2.0, 1.0, 1.0) for i in range(300)]
+    new = spark.createDataFrame(rows, BAR)
+    jobs.write_panel(base, str(tmp_path / "panel"))
+    for _ in range(2):
+        jobs.merge_batch(str(tmp_path / "panel"), new, CFG)
+        got = jobs.read_panel(spark, str(tmp_path / "panel")).drop("month")
+        want, status = ingest.reconcile(base, new, CFG)
+        assert {(r.ticker, r.status) for r in status.collect()} == {("AAA", "replaced"), ("BBB", "quarantine"), ("OLD", "replaced")}
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -38,12 +38,11 @@ def inbox(ws):
     """Panel grown from dropped files equals the panel loaded at once."""
     r = _root(ws)
     d = ws.symbols().select(*BAR)
-    d.where("date <= date '2001-06-01'").write.parquet(f"{r}/panel/v=000000000")
+    jobs.write_panel(d.where("date <= date '2001-06-01'"), f"{r}/panel")
     new = d.where("date > date '2001-06-01'")
     _drop_files(new, f"{r}/inbox", ["2001-08-01"])
-    q = jobs.ingest_stream(ws.spark, f"{r}/inbox", f"{r}/panel", f"{r}/ck", ws.cfg)
-    q.awaitTermination()
-    return jobs.current(ws.spark, f"{r}/panel", q.lastProgress["batchId"] + 1)
+    jobs.ingest_stream(ws.spark, f"{r}/inbox", f"{r}/panel", f"{r}/ck", ws.cfg).awaitTermination()
+    return jobs.read_panel(ws.spark, f"{r}/panel").drop("month")
 
 
 @query("W02_session_bars", """with e as (select event_type ticker, date_trunc('day', ts) d, ts, value, event_id from events),

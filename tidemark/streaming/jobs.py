@@ -15,32 +15,53 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.config import Config
-from tidemark.operators.ingest import reconcile, upsert
+from tidemark.operators.ingest import batch_status, reconcile, upsert
+from tidemark.session import materialise
 from tidemark.sources.bars import normalise
 
 BAR_SCHEMA = "ticker string, date date, open double, high double, low double, close double, volume double, turnover double"
 
 
-def _swap(df: DataFrame, root: str, version: int) -> None:
-    """Every batch writes the next version of the table; a re-delivered batch writes the same one again."""
-    df.write.mode("overwrite").parquet(f"{root}/v={version:09d}")
+def write_panel(df: DataFrame, table: str, mode: str = "error") -> None:
+    """Panel stored by month, so a batch rewrites the months it touches and nothing else."""
+    d = df.withColumn("month", F.date_format("date", "yyyy-MM"))
+    d.repartition("month").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(table)
 
 
-def current(spark: SparkSession, root: str, version: int) -> DataFrame:
-    return spark.read.schema(BAR_SCHEMA).parquet(f"{root}/v={version:09d}")
+def read_panel(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.schema(BAR_SCHEMA + ", month string").parquet(table)
+
+
+def merge_batch(table: str, new: DataFrame, cfg: Config) -> None:
+    """Reconcile a batch into the stored panel. Only months of the batch are read and rewritten, plus the months of
+    histories the batch replaces. Running it again with the same batch changes nothing."""
+    spark = new.sparkSession
+    base = read_panel(spark, table)
+    new = materialise(new, "batch")
+    months = new.select(F.date_format("date", "yyyy-MM").alias("month")).distinct()
+    near = base.join(F.broadcast(months), "month", "left_semi")                       # months of the calendar
+    status = materialise(batch_status(near, new, cfg), "status")
+    replaced = status.where("status = 'replaced'").select("ticker")
+    touched = materialise(months.union(base.join(replaced, "ticker", "left_semi").select("month")).distinct(), "months")
+    old = base.join(F.broadcast(touched), "month", "left_semi").select(*new.columns)
+    merged, _ = reconcile(old, new, cfg)
+    merged = materialise(merged, "merged")
+    write_panel(merged, table, "overwrite")
+    left = merged.select(F.date_format("date", "yyyy-MM").alias("month")).distinct()
+    for r in touched.join(left, "month", "left_anti").collect():                      # months a replaced history emptied
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/month={r['month']}")
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def ingest_stream(spark: SparkSession, inbox: str, table: str, checkpoint: str, cfg: Config, archive: str | None = None,
                   files_per_batch: int = 1, schema: str = BAR_SCHEMA) -> StreamingQuery:
-    """Inbox folder to reconciled panel. Batch k reads version k of the panel and writes version k + 1."""
+    """Inbox folder to reconciled panel, one merge per micro-batch."""
     r = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if archive:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
 
     def step(batch: DataFrame, k: int) -> None:
-        base = current(batch.sparkSession, table, k)
-        merged, _ = reconcile(base, normalise(batch).select(*base.columns), cfg)
-        _swap(merged, table, k + 1)
+        merge_batch(table, normalise(batch).select(*[c.split()[0] for c in BAR_SCHEMA.split(", ")]), cfg)
     return (r.parquet(inbox).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
