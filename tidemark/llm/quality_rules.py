@@ -129,7 +129,7 @@ def plan_cascade(docs: DataFrame, text_col: str = "text", sample_rows: int = SAM
     spark, rows = docs.sparkSession, docs.count()
     x = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")
     share = min(1.0, sample_rows / max(rows, 1))
-    sample = materialise(docs.select(x).sample(False, share, 7).coalesce(2), "rule_sample").withColumn("words", words(F.col("text")))
+    sample = materialise(docs.select(x).sample(False, share, 7).repartition(2), "rule_sample").withColumn("words", words(F.col("text")))
     measured = []
     sample.agg(F.count("*")).first()
     for name, rejects in rules(F.col("text"), _unevaluated(F.col("text"), F.col("words"))).items():

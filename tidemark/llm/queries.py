@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality_rules, secrets
-from tidemark.llm.common import documents
+from tidemark.llm import bpe, embedding_dedup, jaccard_join, packing, quality_rules, secrets, token_store
+from tidemark.llm.common import documents, table
+from tidemark.llm.library import read_tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +28,32 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(documents(spark, sf_dir))
+
+
+@query
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicate_components(documents(spark, sf_dir), jaccard_join.Likeness(3, 90, 100))
+
+
+@query
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        ranks = f.read().splitlines()
+    return bpe.digest(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), 0.93)
+
+
+@query
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    return token_store.read_store(token_store.write_store(documents(spark, sf_dir), tokenizer, end_id=2))
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer, end_id=1, capacity=4096)
