@@ -51,7 +51,6 @@ class Config:
     # scale switches
     names_bound: int = 100_000      # upper bound of bars per date, measured by the caller
     split_above: int = 2_000_000    # beyond this many names per date, ranks are split by value range
-    long_history: bool = False      # True: recursive averages are rebased every 3000 sessions
 
     @property
     def split(self) -> bool:

@@ -3,9 +3,8 @@
 y_k = a*x_k + (1-a)*y_(k-1) with y_0 = x_0 unrolls to
 y_k = b^k * sum(w_i * x_i * b^-i), b = 1-a, w_0 = 1, w_i = a,
 one running sum per series. b^-i would overflow a double on very long histories,
-so positions restart every BLOCK sessions; with long_history the end value of the block
-before is carried in (anything older weighs less than 1e-13), otherwise a longer history
-stops the job instead of returning a wrong number.
+so positions restart every BLOCK sessions and the end value of the block before is carried
+in (anything older weighs less than 1e-13). A history may have any length.
 """
 
 from __future__ import annotations
@@ -16,18 +15,12 @@ from pyspark.sql import functions as F
 BLOCK = 3000
 
 
-def smooth_layers(specs: list[tuple[str, str, float, int]], key: str = "ticker", order: str = "date", long_history: bool = False,
-                  block: int = BLOCK) -> list[dict[str, Column]]:
+def smooth_layers(specs: list[tuple[str, str, float, int]], key: str = "ticker", order: str = "date", block: int = BLOCK) -> list[dict[str, Column]]:
     """Column layers that add smoothed series; a layer only reads columns of the layers before it.
 
     specs: (output, input, alpha, minimum observations). The frame must hold `pos` (0-based bar number of the key) and
     `_seen_<input>` (running non-null count, see `seen`). Nulls may only lead a series.
     """
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    if not long_history:
-        j = F.when(F.col("pos") < block, F.col("pos")).otherwise(
-            F.raise_error(F.lit(f"history beyond {block} sessions: set long_history=True"))).cast("double")
-        return [{o: F.when(F.col(f"_seen_{x}") >= m, _local(x, a, j, w)) for o, x, a, m in specs}]
     part = F.floor(F.col("pos") / block)
     j = (F.col("pos") % block).cast("double")
     run = Window.partitionBy(key, part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
@@ -63,9 +56,9 @@ def apply_layers(df: DataFrame, *families: list[dict[str, Column]]) -> DataFrame
     return df.drop(*[n for n in made if n.startswith("_")])
 
 
-def smooth(df: DataFrame, key: str, order: str, specs: list[tuple[str, str, float, int]], long_history: bool = False, block: int = BLOCK) -> DataFrame:
+def smooth(df: DataFrame, key: str, order: str, specs: list[tuple[str, str, float, int]], block: int = BLOCK) -> DataFrame:
     """Add smoothed columns to a frame that holds `pos`."""
     first = {}
     for x in sorted({x for _, x, _, _ in specs}):
         first |= seen(x, None, key, order)
-    return apply_layers(df, [first, *smooth_layers(specs, key, order, long_history, block)])
+    return apply_layers(df, [first, *smooth_layers(specs, key, order, block)])

@@ -22,7 +22,7 @@ def breadth_brief(bars: DataFrame, cfg: Config) -> DataFrame:
     """Last date: advancers, decliners, unchanged, share above EMA50, traded value against the 20 dates before."""
     w = Window.partitionBy("ticker").orderBy("date")
     b = add_position(bars).withColumn("r", change(F.col("close"), F.lag("close").over(w)))
-    b = smooth(b, "ticker", "date", [("ema50", "close", 2.0 / 51, 50)], cfg.long_history)
+    b = smooth(b, "ticker", "date", [("ema50", "close", 2.0 / 51, 50)])
     day = b.groupBy("date").agg(F.count_if(F.col("r") > 0).alias("advancers"), F.count_if(F.col("r") < 0).alias("decliners"), F.count_if(F.col("r") == 0).alias("unchanged"),
                                 F.avg(truth(F.col("close") > F.col("ema50")).cast("double")).alias("above_ema50"), F.sum(F.col("close") * F.col("volume") * 1000).alias("_v"))
     past = Window.orderBy("date").rowsBetween(-20, -1)

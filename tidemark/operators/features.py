@@ -55,7 +55,7 @@ def returns(spans=(1, 5, 20, 60)) -> Layers:
 
 def trend(cfg: Config) -> Layers:
     """Distances to the 20/50/200-session averages, their spread and slope."""
-    ema = smooth_layers([(f"ema{n}", "close", 2.0 / (n + 1), n) for n in (20, 50, 200)], long_history=cfg.long_history)
+    ema = smooth_layers([(f"ema{n}", "close", 2.0 / (n + 1), n) for n in (20, 50, 200)])
     return [seen("close"), *ema, {
         **{f"dist_ema{n}": change(F.col("close"), F.col(f"ema{n}")) for n in (20, 50, 200)},
         "ema20_50": change(F.col("ema20"), F.col("ema50")), "ema50_slope10": change(F.col("ema50"), _lag("ema50", 10))}]
@@ -70,7 +70,7 @@ def directional(cfg: Config) -> Layers:
             "_gain": F.when(move.isNotNull(), F.greatest(move, F.lit(0.0))), "_loss": F.when(move.isNotNull(), F.greatest(-move, F.lit(0.0)))}
     counts = {k: v for x, e in base.items() for k, v in seen(x, e).items()}
     avg = smooth_layers([("_atr", "tr", WILDER, 14), ("_p", "_pdm", WILDER, 14), ("_m", "_mdm", WILDER, 14), ("_g", "_gain", WILDER, 14),
-                         ("_l", "_loss", WILDER, 14)], long_history=cfg.long_history)
+                         ("_l", "_loss", WILDER, 14)])
     plus, minus = ratio(F.lit(100.0) * F.col("_p"), "_atr"), ratio(F.lit(100.0) * F.col("_m"), "_atr")
     dx = ratio(F.lit(100.0) * F.abs(plus - minus), plus + minus)
     g, ls = F.col("_g"), F.col("_l")
@@ -78,13 +78,13 @@ def directional(cfg: Config) -> Layers:
     return [{"_pc": _lag("close"), "_ph": _lag("high"), "_pl": _lag("low")}, {**base, **counts}, *avg,
             {"plus_di": plus, "minus_di": minus, "dx": dx, **seen("dx", dx), "atr14_pct": ratio("_atr", "close"),
              "di_diff": ratio(plus - minus, plus + minus), "rsi14": rsi},
-            *smooth_layers([("adx14", "dx", WILDER, 14)], long_history=cfg.long_history)]
+            *smooth_layers([("adx14", "dx", WILDER, 14)])]
 
 
 def macd(cfg: Config) -> Layers:
     line = F.col("_e12") - F.col("_e26")
-    return [seen("close"), *smooth_layers([("_e12", "close", 2.0 / 13, 12), ("_e26", "close", 2.0 / 27, 26)], long_history=cfg.long_history),
-            {"_macd": line, **seen("_macd", line)}, *smooth_layers([("_sig", "_macd", 2.0 / 10, 9)], long_history=cfg.long_history),
+    return [seen("close"), *smooth_layers([("_e12", "close", 2.0 / 13, 12), ("_e26", "close", 2.0 / 27, 26)]),
+            {"_macd": line, **seen("_macd", line)}, *smooth_layers([("_sig", "_macd", 2.0 / 10, 9)]),
             {"macd_hist": ratio(F.col("_macd") - F.col("_sig"), "close")}]
 
 
@@ -159,7 +159,7 @@ def add_features(bars: DataFrame, cfg: Config, *more: Layers) -> DataFrame:
 
 def index_features(index: DataFrame, cfg: Config) -> DataFrame:
     """vni_ret5, vni_ret20, vni_dist_ema50 per date (index series: one row per date)."""
-    ema = smooth_layers([("_e", "close", 2.0 / 51, 50)], long_history=cfg.long_history)
+    ema = smooth_layers([("_e", "close", 2.0 / 51, 50)])
     df = apply_layers(index, position(), returns((5, 20)), [seen("close"), *ema, {"vni_dist_ema50": change(F.col("close"), F.col("_e"))}])
     return df.select("date", F.col("ret5").alias("vni_ret5"), F.col("ret20").alias("vni_ret20"), "vni_dist_ema50")
 
@@ -171,7 +171,7 @@ def add_index_features(df: DataFrame, index: DataFrame, cfg: Config) -> DataFram
 
 def index_outlook(index: DataFrame, cfg: Config) -> DataFrame:
     """Per date: close, change over 1/5/20 sessions, distance to EMA50 and EMA200 without a minimum history."""
-    ema = smooth_layers([("_e50", "close", 2.0 / 51, 1), ("_e200", "close", 2.0 / 201, 1)], long_history=cfg.long_history)
+    ema = smooth_layers([("_e50", "close", 2.0 / 51, 1), ("_e200", "close", 2.0 / 201, 1)])
     df = apply_layers(index, position(), returns((1, 5, 20)), [seen("close"), *ema, {
         "dist_ema50": change(F.col("close"), F.col("_e50")), "dist_ema200": change(F.col("close"), F.col("_e200"))}])
     return df.select("date", "close", F.col("ret1").alias("chg1"), F.col("ret5").alias("chg5"), F.col("ret20").alias("chg20"), "dist_ema50", "dist_ema200")
