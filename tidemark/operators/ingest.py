@@ -10,14 +10,17 @@ from tidemark.functions.expr import change
 
 
 def upsert(base: DataFrame, new: DataFrame, keys: tuple[str, ...] = ("ticker", "date"), seq: str | None = None) -> DataFrame:
-    """Last write wins. `seq` orders repeated keys inside the batch.
+    """Last write wins. `seq` (any orderable column) orders repeated keys inside the batch; what it leaves equal, the values order.
 
-    max_by combines on the map side, so a key repeated in a third of the rows never meets in one task.
+    So the answer never depends on how the batch is partitioned. max_by combines on the map side, so a key repeated in a third of
+    the rows never meets in one task.
     """
     cols = [c for c in base.columns if c not in keys]
-    order = F.col(seq) if seq else F.lit(0)
-    b = base.select(*keys, F.struct(*cols).alias("_row"), F.struct(F.lit(0).alias("s"), F.lit(0).cast("long").alias("q")).alias("_at"))
-    n = new.select(*keys, F.struct(*cols).alias("_row"), F.struct(F.lit(1).alias("s"), order.cast("long").alias("q")).alias("_at"))
+    kind = new.schema[seq].dataType if seq else "long"
+    order = F.col(seq) if seq else F.lit(None).cast("long")
+    row = F.struct(*cols)
+    b = base.select(*keys, row.alias("_row"), F.struct(F.lit(0).alias("s"), F.lit(None).cast(kind).alias("q"), row.alias("r")).alias("_at"))
+    n = new.select(*keys, row.alias("_row"), F.struct(F.lit(1).alias("s"), order.alias("q"), row.alias("r")).alias("_at"))
     m = b.unionByName(n).groupBy(*keys).agg(F.max_by("_row", "_at").alias("_row"))
     return m.select(*keys, "_row.*").select(*base.columns)
 
@@ -50,13 +53,17 @@ def ingest_report(base: DataFrame, merged: DataFrame, status: DataFrame) -> Data
 
 def cdc_merge(base: DataFrame, recent: DataFrame, full: DataFrame, cfg: Config, n: int = 5) -> tuple[DataFrame, DataFrame]:
     """(merged, replaced tickers). Overlap older than the n newest fetched sessions decides: deviation replaces the
-    ticker's history, otherwise the n newest sessions are overwritten and newer ones appended."""
+    ticker's history, otherwise the n newest sessions are overwritten and newer ones appended. A deviating ticker
+    without a full history stops the merge before anything is written."""
     w = Window.partitionBy("ticker").orderBy(F.desc("date"))
     r = recent.withColumn("_k", F.dense_rank().over(w))
     old = r.where(F.col("_k") > n).select("ticker", "date", F.col("close").alias("_new"))
     m = old.join(base.select("ticker", "date", "close"), ["ticker", "date"])
     replaced = (m.groupBy("ticker").agg(F.max(F.abs(change(F.col("_new"), F.col("close")))).alias("worst"))
                  .where(F.col("worst") > cfg.adjust_tol).select("ticker"))
+    missing = replaced.join(full.select("ticker"), "ticker", "left_anti").agg(F.count(F.lit(1)).alias("n"), F.min("ticker").alias("first")).first()
+    if missing["n"]:
+        raise ValueError(f"no full history for {missing['n']} deviating tickers, first {missing['first']}")
     turnover = F.col("close") * F.col("volume") * 1000
     cols = base.columns
     add = r.where(F.col("_k") <= n).join(replaced, "ticker", "left_anti").withColumn("turnover", turnover).select(*cols)
@@ -86,10 +93,7 @@ def assert_clean(df: DataFrame) -> DataFrame:
 def upsert_dim(current: DataFrame, new: DataFrame, value: str = "industry", key: str = "ticker", seq: str | None = None) -> DataFrame:
     """Last non-null value per key."""
     n = new.where(F.col(value).isNotNull())
-    order = F.col(seq).cast("long") if seq else F.lit(0).cast("long")
-    u = (current.select(key, value, F.struct(F.lit(0).alias("s"), F.lit(0).cast("long").alias("q")).alias("_at"))
-                .unionByName(n.select(key, value, F.struct(F.lit(1).alias("s"), order.alias("q")).alias("_at"))))
-    return u.groupBy(key).agg(F.max_by(value, "_at").alias(value))
+    return upsert(current.select(key, value), n, (key,), seq)
 
 
 def liquid_tickers(panel: DataFrame, days: int, threshold: float) -> DataFrame:

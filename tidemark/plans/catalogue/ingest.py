@@ -297,7 +297,7 @@ select ticker, date data_date, round(close, 6) as close from sym, l where date =
 def replace_snapshot(ws):
     """Two daily snapshots written, the second replaces its partition only; readers see the newest date."""
     path = f"{shared_dir(ws.spark)}/{ws.spark.sparkContext.applicationId}/snap-{uuid.uuid4().hex[:12]}"
-    d = ws.symbols().select("ticker", F.col("date").alias("data_date"), "close").where("data_date >= date '2001-10-01'")
+    d = ws.symbols().select("ticker", F.col("date").alias("data_date"), "close")
     sinks.replace_snapshot(d.withColumn("close", F.lit(0.0)), path)
     last = d.where(F.col("data_date") == d.select(F.max("data_date")).scalar())
     sinks.replace_snapshot(last, path)

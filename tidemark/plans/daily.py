@@ -30,11 +30,13 @@ class DailyState:
 
 
 def take_batch(state: DailyState, batch: DataFrame, cfg: Config) -> tuple[DailyState, DataFrame]:
-    """Panel and index with the batch merged in, and the batch's status per ticker."""
+    """Panel and index with the batch merged in, and the batch's status per ticker. A column `seq` orders repeated keys."""
     stocks, idx = split_index(normalise(batch))
-    panel, status = ingest.reconcile(state.panel, stocks.select(*state.panel.columns), cfg)
-    index = ingest.upsert(state.index, idx.select(*state.index.columns))
-    industry = ingest.upsert_dim(state.industry, stocks) if "industry" in stocks.columns else state.industry
+    seq = "seq" if "seq" in stocks.columns else None
+    more = [seq] if seq else []
+    panel, status = ingest.reconcile(state.panel, stocks.select(*state.panel.columns, *more), cfg, seq)
+    index = ingest.upsert(state.index, idx.select(*state.index.columns, *more), seq=seq)
+    industry = ingest.upsert_dim(state.industry, stocks, seq=seq) if "industry" in stocks.columns else state.industry
     return replace(state, panel=materialise(panel, "panel"), index=materialise(index, "index"), industry=industry), materialise(status, "status")
 
 

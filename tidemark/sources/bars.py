@@ -22,8 +22,14 @@ def read_bars(spark: SparkSession, path: str, schema: str | None = None) -> Data
     return spark.read.parquet(path)
 
 
+def file_order() -> Column:
+    """Place of a row in a set of files: file time, file name, row position. Add it where the files are read."""
+    return F.struct(F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_name").alias("file"),
+                    F.col("_metadata.row_index").alias("row"))
+
+
 def normalise(df: DataFrame) -> DataFrame:
-    """Canonical headers, upper-case trimmed ticker, plain date; unknown columns are dropped."""
+    """Canonical headers, upper-case trimmed ticker, plain date; unknown columns but `seq` (write order) are dropped."""
     names = {c: ALIASES.get(c.lower().strip(), c.lower().strip()) for c in df.columns}
     df = df.withColumnsRenamed(names)
     missing = [c for c in REQUIRED if c not in df.columns]
@@ -32,7 +38,7 @@ def normalise(df: DataFrame) -> DataFrame:
     if "turnover" not in df.columns:
         df = df.withColumn("turnover", F.lit(None).cast("double"))
     df = df.withColumns({"ticker": F.upper(F.trim("ticker")), "date": F.to_date("date")})
-    return fill_turnover(df.select(*REQUIRED, "turnover", *[c for c in OPTIONAL if c in df.columns]))
+    return fill_turnover(df.select(*REQUIRED, "turnover", *[c for c in [*OPTIONAL, "seq"] if c in df.columns]))
 
 
 def fill_turnover(df: DataFrame) -> DataFrame:
@@ -43,7 +49,7 @@ def fill_turnover(df: DataFrame) -> DataFrame:
 def split_index(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(stock rows, index rows under one name)."""
     is_idx = F.col("ticker").isin(INDEX_NAMES)
-    idx = df.where(is_idx).withColumn("ticker", F.lit(INDEX_NAMES[0])).select(*REQUIRED)
+    idx = df.where(is_idx).withColumn("ticker", F.lit(INDEX_NAMES[0])).select(*REQUIRED, *[c for c in ["seq"] if c in df.columns])
     return df.where(~is_idx), idx
 
 

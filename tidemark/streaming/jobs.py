@@ -17,15 +17,18 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidemark.config import Config
 from tidemark.operators.ingest import batch_status, reconcile, upsert
 from tidemark.session import materialise
-from tidemark.sources.bars import normalise
+from tidemark.sources.bars import file_order, normalise
 
 BAR_SCHEMA = "ticker string, date date, open double, high double, low double, close double, volume double, turnover double"
 
 
+TASKS_PER_MONTH = 4
+
+
 def write_panel(df: DataFrame, table: str, mode: str = "error") -> None:
     """Panel stored by month, so a batch rewrites the months it touches and nothing else."""
     d = df.withColumn("month", F.date_format("date", "yyyy-MM"))
-    d.repartition("month").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(table)
+    d.repartition("month", F.pmod(F.xxhash64("ticker"), F.lit(TASKS_PER_MONTH))).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(table)
 
 
 def read_panel(spark: SparkSession, table: str) -> DataFrame:
@@ -34,22 +37,26 @@ def read_panel(spark: SparkSession, table: str) -> DataFrame:
 
 def merge_batch(table: str, new: DataFrame, cfg: Config) -> None:
     """Reconcile a batch into the stored panel. Only months of the batch are read and rewritten, plus the months of
-    histories the batch replaces. Running it again with the same batch changes nothing."""
+    histories the batch replaces. Running it again with the same batch changes nothing. `seq` in the batch orders repeated keys."""
     spark = new.sparkSession
-    base = read_panel(spark, table)
-    new = materialise(new, "batch")
-    months = new.select(F.date_format("date", "yyyy-MM").alias("month")).distinct()
-    near = base.join(F.broadcast(months), "month", "left_semi")                       # months of the calendar
-    status = materialise(batch_status(near, new, cfg), "status")
+    base, new = read_panel(spark, table), materialise(new, "batch")
+    seq = "seq" if "seq" in new.columns else None
+    cols = [c for c in new.columns if c != "seq"]
+
+    def months_of(df: DataFrame) -> list[str]:            # months of the calendar: a literal list prunes the partitions
+        return sorted(r[0] for r in df.select("month").distinct().collect())
+    months = months_of(new.select(F.date_format("date", "yyyy-MM").alias("month")))
+    status = materialise(batch_status(base.where(F.col("month").isin(months)), new, cfg), "status")
     replaced = status.where("status = 'replaced'").select("ticker")
-    touched = materialise(months.union(base.join(replaced, "ticker", "left_semi").select("month")).distinct(), "months")
-    old = base.join(F.broadcast(touched), "month", "left_semi").select(*new.columns)
-    merged, _ = reconcile(old, new, cfg)
+    touched = months
+    if not replaced.isEmpty():
+        touched = sorted({*months, *months_of(base.join(replaced, "ticker", "left_semi"))})
+    merged, _ = reconcile(base.where(F.col("month").isin(touched)).select(*cols), new, cfg, seq)
     merged = materialise(merged, "merged")
     write_panel(merged, table, "overwrite")
-    left = merged.select(F.date_format("date", "yyyy-MM").alias("month")).distinct()
-    for r in touched.join(left, "month", "left_anti").collect():                      # months a replaced history emptied
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/month={r['month']}")
+    left = months_of(merged.select(F.date_format("date", "yyyy-MM").alias("month")))
+    for month in set(touched) - set(left):                  # months a replaced history emptied
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/month={month}")
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
@@ -61,16 +68,16 @@ def ingest_stream(spark: SparkSession, inbox: str, table: str, checkpoint: str,
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive)
 
     def step(batch: DataFrame, k: int) -> None:
-        merge_batch(table, normalise(batch).select(*[c.split()[0] for c in BAR_SCHEMA.split(", ")]), cfg)
-    return (r.parquet(inbox).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        merge_batch(table, normalise(batch).select(*[c.split()[0] for c in BAR_SCHEMA.split(", ")], "seq"), cfg)
+    return (r.parquet(inbox).withColumn("seq", file_order()).writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def session_stream(ticks: DataFrame, table: str, checkpoint: str, session: str = "1 day", late: str = "5 days") -> StreamingQuery:
-    """Ticks (ticker, ts, price, qty) to closed bars: a session is emitted once the watermark passes its end,
-    so no unfinished bar is ever written; ticks up to `late` behind still count."""
+    """Ticks (event_id, ticker, ts, price, qty) to closed bars: a session is emitted once the watermark passes its end,
+    so no unfinished bar is ever written; ticks up to `late` behind still count. Equal times are ordered by event_id."""
     bars = (ticks.withWatermark("ts", late).groupBy(F.window("ts", session).alias("w"), "ticker")
-                 .agg(F.min_by("price", "ts").alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
-                      F.max_by("price", "ts").alias("close"), F.sum("qty").alias("volume"), F.count(F.lit(1)).alias("n_ticks")))
+                 .agg(F.min_by("price", F.struct("ts", "event_id")).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"),
+                      F.max_by("price", F.struct("ts", "event_id")).alias("close"), F.sum("qty").alias("volume"), F.count(F.lit(1)).alias("n_ticks")))
     out = bars.select("ticker", F.to_date("w.start").alias("date"), "open", "high", "low", "close", "volume", "n_ticks")
     return (out.writeStream.outputMode("append").format("parquet").option("path", table).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
