@@ -12,7 +12,6 @@ from tidemark.functions.ranks import add_row_number
 from tidemark.functions.running import match_intervals, running_total
 
 LOT = 100
-ALL_SHARES = 1_000_000_000       # stands for "all": more than any position
 CHUNK = 10_000                   # orders per chunk of a running total
 
 
@@ -73,10 +72,9 @@ def order_rank() -> Column:
 
 
 def add_size(filled: DataFrame, cfg: Config) -> DataFrame:
-    """Whole lots a buy order's amount pays for; requested shares of a sale; amount, fee and tax."""
+    """Whole lots a buy order's amount pays for; requested shares of a sale (null for "all"); amount, fee and tax."""
     lots = F.floor(F.col("value_vnd") / (F.col("price") * 1000 * LOT)) * LOT
-    want = F.when(F.col("qty") == "all", F.lit(ALL_SHARES)).otherwise(F.col("qty").try_cast("bigint"))
-    df = filled.withColumn("shares", F.when(F.col("side") == "BUY", lots).otherwise(want).cast("long"))
+    df = filled.withColumn("shares", F.when(F.col("side") == "BUY", lots).otherwise(F.col("qty").try_cast("bigint")).cast("long"))
     return add_costs(df, cfg)
 
 
@@ -85,19 +83,37 @@ def add_costs(df: DataFrame, cfg: Config) -> DataFrame:
     return df.withColumns({"amount": amt, "fee": amt * cfg.fee, "tax": F.when(F.col("side") == "SELL", amt * cfg.tax).otherwise(F.lit(0.0))})
 
 
-def execute(sized: DataFrame, cfg: Config) -> DataFrame:
-    """Ledger: buys as sized, sales cut to the shares held at that moment (none are sold short).
+def settle_sales(sized: DataFrame, calendar: DataFrame, cfg: Config) -> DataFrame:
+    """Admitted orders with final status and shares: buys as sized, sales cut to settled shares.
 
-    With the running sum S of signed shares, the position before a row is S minus the smallest S so far (at most 0),
-    so the cut needs no loop. Needs order_no and agent, ticker, session.
+    A share can be sold from the second session after its purchase on, at the open from the third on. So a buy is credited two
+    sessions later, behind that session's opening sales, and with the running sum S of signed shares the settled position before a
+    row is S minus the smallest S so far (at most 0): the cut needs no loop. "all" stands for everything ever bought of the name.
+    A sale without settled shares gets not_sellable_T+2 or, when nothing is held, no_position; a buy too small for a lot no_cash.
+    Needs order_no and agent, ticker, session; calendar: date, di.
     """
-    d = sized.where("status = 'filled' and shares > 0").withColumns(
-        {"_x": F.when(F.col("side") == "BUY", F.col("shares")).otherwise(-F.col("shares")), "_rank": order_rank(),
-         "_chunk": F.floor(F.col("order_no") / CHUNK)})
-    d = running_total(d, ["agent", "ticker"], ["session", "_rank", "_chunk"], ["order_no"], "_x", "_s", "_low")
-    held = F.col("_s") - F.col("_x") - F.col("_low")
-    d = d.withColumn("shares", F.when(F.col("side") == "SELL", F.least("shares", held)).otherwise(F.col("shares"))).where("shares > 0")
-    return add_costs(d, cfg).drop("_x", "_rank", "_chunk", "_s", "_low")
+    buy, keys = F.col("side") == "BUY", ["agent", "ticker"]
+    ever = sized.where("side = 'BUY' and status = 'filled'").groupBy(*keys).agg(F.sum("shares").alias("_ever"))
+    d = sized.join(F.broadcast(calendar.select(F.col("date").alias("session"), "di")), "session", "left").join(ever, keys, "left")
+    filled, rank = F.col("status") == "filled", order_rank() * 2
+    want = F.when(F.coalesce(F.col("qty") == "all", F.lit(False)), F.coalesce("_ever", F.lit(0))).otherwise(F.coalesce("shares", F.lit(0)))
+    d = d.withColumns({"_want": F.when(buy, F.coalesce("shares", F.lit(0))).otherwise(want).cast("long"), "_chunk": F.floor(F.col("order_no") / CHUNK)})
+    d = d.withColumns({"_at": F.when(buy, F.col("di") + 2).otherwise(F.col("di")), "_rank": F.when(buy, F.lit(1)).otherwise(rank),
+                       "_x": F.when(filled, F.when(buy, F.col("_want")).otherwise(-F.col("_want"))).otherwise(0).cast("long")})
+    d = running_total(d, keys, ["_at", "_rank", "_chunk"], ["order_no"], "_x", "_s", "_low")
+    d = d.withColumn("_cut", F.when(buy, F.col("_want")).otherwise(F.least("_want", F.col("_s") - F.col("_x") - F.col("_low"))))
+    d = d.withColumns({"_at": F.col("di"), "_rank": rank, "_x": F.when(filled, F.when(buy, F.col("_cut")).otherwise(-F.col("_cut"))).otherwise(0).cast("long")})
+    d = running_total(d, keys, ["_at", "_rank", "_chunk"], ["order_no"], "_x", "_s")
+    empty = F.col("_cut") <= 0
+    status = (F.when(~buy & empty, F.when(F.col("_s") > 0, "not_sellable_T+2").otherwise("no_position"))
+               .when(buy & filled & empty, "no_cash").otherwise(F.col("status")))
+    d = d.withColumns({"status": status, "shares": F.when(status == "filled", F.col("_cut"))})
+    return add_costs(d, cfg).drop("_ever", "_want", "_chunk", "_at", "_rank", "_x", "_s", "_low", "_cut", "di")
+
+
+def execute(sized: DataFrame, calendar: DataFrame, cfg: Config) -> DataFrame:
+    """Ledger of executed orders."""
+    return settle_sales(sized, calendar, cfg).where("status = 'filled'")
 
 
 # ---- lots ----

@@ -26,8 +26,11 @@ def limits(ws):
     return ws.frame().select("ticker", "limit").distinct()
 
 
+ORDER_BARS = 20   # the books begin with the panel, so a name is admitted after its first month instead of its first year
+
+
 def eligible(ws):
-    return ws.frame().where((F.col("liq20") >= ws.cfg.liq_min) & (F.col("nbars") > ws.cfg.min_bars)).select("ticker", F.col("date").alias("session"))
+    return ws.frame().where((F.col("liq20") >= ws.cfg.liq_min) & (F.col("nbars") > ORDER_BARS)).select("ticker", F.col("date").alias("session"))
 
 
 @_stored
@@ -41,10 +44,15 @@ def admitted(ws: Workspace):
     return materialise(op.admit(fills(ws), eligible(ws), ws.industry(), agents(ws)), "admitted")
 
 
+@_stored
+def results(ws: Workspace):
+    """Every admitted order with its final status."""
+    return materialise(op.settle_sales(op.add_size(admitted(ws).where("reject is null"), ws.cfg), ws.calendar(), ws.cfg), "results")
+
+
 @_stored
 def trades(ws: Workspace):
-    ok = admitted(ws).where("reject is null or reject <> 'late_book'").where("side = 'SELL' or session < date '1999-01-01' or reject is null")
-    return materialise(op.execute(op.add_size(ok, ws.cfg), ws.cfg), "trades")
+    return materialise(results(ws).where("status = 'filled'"), "trades")
 
 
 LIM = """
@@ -72,7 +80,7 @@ def fill_status(ws):
 
 
 ADMIT = AGENTS + """,
-el as (select ticker, date session from frame where liq20 >= 90000 and nbars > 200),
+el as (select ticker, date session from frame where liq20 >= 90000 and nbars > 20),
 ad as (select f.*, i.industry, case when committed_at > f.session::timestamp + interval 2 hour then 'late_book' when side = 'BUY' and el.ticker is null then 'not_eligible'
    when side = 'BUY' and ag.agent is null then 'out_of_scope' end reject
    from fi f left join el on el.ticker = f.ticker and el.session = f.session left join ind i on i.ticker = f.ticker left join ag on ag.agent = f.agent and ag.industry = i.industry)"""
@@ -100,7 +108,7 @@ def order_sequence(ws):
 
 
 SIZE = """
-sz as (select *, case when side = 'BUY' then floor(value_vnd/(price*1000*100))*100 else case when qty = 'all' then 1000000000 else qty::bigint end end::bigint sh from ad)"""
+sz as (select *, case when side = 'BUY' then floor(value_vnd/(price*1000*100))*100 else try_cast(qty as bigint) end::bigint sh from ad)"""
 
 
 @query("T05_order_size", ADM + "," + SIZE + ", u as (select *, o_orderkey order_no, sh*price*1000 amt from sz where status = 'filled' and side = 'BUY'), v as (select *, amt/1e6 amount, amt*0.0015e0/1e6 fee, sh shares from u)\n"
@@ -112,13 +120,19 @@ def order_size(ws):
 
 
 EXEC = SIZE + f""",
-xe0 as (select *, {RANK} rk, case when side = 'BUY' then sh else -sh end x from sz where status = 'filled' and sh > 0 and coalesce(reject, '') <> 'late_book'
-   and (side = 'SELL' or session < date '1999-01-01' or reject is null)),
-xe1 as (select *, sum(x) over (partition by agent, ticker order by session, rk, o_orderkey) s from xe0),
-xe2 as (select *, least(0, coalesce(min(s) over (partition by agent, ticker order by session, rk, o_orderkey rows between unbounded preceding and 1 preceding), 0)) lo from xe1),
-tr as (select agent, ticker, session, type, side, price, o_orderkey order_no, rk, shares, shares*price*1000 amount, shares*price*1000*0.0015e0 fee,
-   case when side = 'SELL' then shares*price*1000*0.001e0 else 0e0 end tax
-   from (select *, (case when side = 'SELL' then least(sh, s - x - lo) else sh end)::bigint shares from xe2) where shares > 0)"""
+cdi as (select date, row_number() over (order by date) - 1 di from (select distinct date from panel)),
+ev0 as (select agent, ticker, sum(sh) ever from sz where side = 'BUY' and status = 'filled' and reject is null group by all),
+xe0 as (select sz.*, di, 2*({RANK}) rk, coalesce(case when side = 'SELL' and qty = 'all' then coalesce(ever, 0) else sh end, 0)::bigint want
+   from sz left join cdi on cdi.date = sz.session left join ev0 using (agent, ticker) where reject is null),
+xe1 as (select *, case when side = 'BUY' then di + 2 else di end at1, case when side = 'BUY' then 1 else rk end rk1, case when status <> 'filled' then 0 when side = 'BUY' then want else -want end x from xe0),
+xe2 as (select *, sum(x) over (partition by agent, ticker order by at1, rk1, o_orderkey) s from xe1),
+xe3 as (select *, least(0, coalesce(min(s) over (partition by agent, ticker order by at1, rk1, o_orderkey rows between unbounded preceding and 1 preceding), 0)) lo from xe2),
+xe4 as (select *, case when side = 'SELL' then least(want, s - x - lo) else want end cut from xe3),
+xe5 as (select *, sum(case when status <> 'filled' then 0 when side = 'BUY' then cut else -cut end) over (partition by agent, ticker order by di, rk, o_orderkey) held from xe4),
+re as (select * exclude (status), case when side = 'SELL' and cut <= 0 then case when held > 0 then 'not_sellable_T+2' else 'no_position' end
+   when side = 'BUY' and status = 'filled' and cut <= 0 then 'no_cash' else status end status from xe5),
+tr as (select agent, ticker, session, type, side, price, o_orderkey order_no, {RANK} rk, cut::bigint shares, cut*price*1000 amount, cut*price*1000*0.0015e0 fee,
+   case when side = 'SELL' then cut*price*1000*0.001e0 else 0e0 end tax from re where status = 'filled')"""
 TR = ADM + "," + EXEC
 LOTS = """
 tb as (select *, sum(shares) over (partition by agent, ticker order by session, rk, order_no)::bigint upto from tr where side = 'BUY'),
@@ -258,14 +272,15 @@ def drawdown(ws):
     return op.drawdown(navs(ws))
 
 
-@query("T14_journal", TR + """,
-fl as (select agent, session, ticker, side, min_by({'status': 'filled', 'shares': shares, 'price': price}, order_no) f from tr group by all)
-select o.agent, o.session, o.ticker, o.side, o_orderkey order_no, case when f is not null then f.status when o.session <= date '2001-06-01' then 'rejected' else 'pending' end as result,
+@query("T14_journal", TRC + "," + NAV + """,
+fl as (select agent, session, ticker, side, min_by({'status': status, 'shares': case when status = 'filled' then cut end, 'price': price}, o_orderkey) f from re group by all)
+select o.agent, o.session, o.ticker, o.side, o_orderkey order_no, case when f is not null then f.status when o.session <= (select max(date) from nv) then 'rejected' else 'pending' end as result,
   f.shares::bigint shares, round(f.price, 6) price from od o left join fl on fl.agent = o.agent and fl.session = o.session and fl.ticker = o.ticker and fl.side = o.side where o.side in ('BUY','SELL')""")
 def journal(ws):
-    """Result of every order."""
-    led = trades(ws).withColumn("status", F.lit("filled"))
-    return op.journal(book(ws), led, F.lit("2001-06-01").cast("date"))
+    """Result of every order: executed, why not, rejected or pending."""
+    last = navs(ws).agg(F.max("date").alias("_last"))
+    books = book(ws).crossJoin(F.broadcast(last))           # one row
+    return op.journal(books, results(ws), F.col("_last"))
 
 
 def agent_navs(ws):
