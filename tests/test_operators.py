@@ -49,17 +49,19 @@ def test_ema_equals_recursion(spark, span):
 def test_ema_long_history_is_rebased(spark):
     rows = walk(700)
     df = features.add_position(spark.createDataFrame(rows, BAR)).withColumn("late", F.when(F.col("pos") >= 5, F.col("close")))
-    got = ewm.smooth(df, "ticker", "date", [("e", "close", 0.2, 9), ("w", "late", 1 / 14, 14)], True, 250).orderBy("date").toPandas()
+    got = ewm.smooth(df, "ticker", "date", [("e", "close", 0.2, 9), ("w", "late", 1 / 14, 14)], 250).orderBy("date").toPandas()
     c = pd.Series([r[5] for r in rows])
     np.testing.assert_allclose(got.e, c.ewm(alpha=0.2, adjust=False, min_periods=9).mean(), rtol=1e-9)
     late = c.where(c.index >= 5)
     np.testing.assert_allclose(got.w, late.ewm(alpha=1 / 14, adjust=False, min_periods=14).mean(), rtol=1e-6)
 
 
-def test_long_history_without_rebasing_stops(spark):
-    df = features.add_position(spark.createDataFrame(walk(30), BAR))
-    with pytest.raises(Exception, match="long_history"):
-        ewm.smooth(df, "ticker", "date", [("e", "close", 0.2, 1)], False, 20).collect()
+@pytest.mark.parametrize("bars", [3001, 10_000])
+def test_ema_of_any_length(spark, bars):
+    rows = walk(bars)
+    df = features.add_position(spark.createDataFrame(rows, BAR))
+    got = ewm.smooth(df, "ticker", "date", [("e", "close", 0.2, 9)]).orderBy("date").toPandas()
+    np.testing.assert_allclose(got.e, pd.Series([r[5] for r in rows]).ewm(alpha=0.2, adjust=False, min_periods=9).mean(), rtol=1e-9)
 
 
 def reference_features(d):
@@ -261,35 +263,61 @@ def test_running_total_and_low(spark):
     assert got.low.tolist() == [min([0, *s[:i].tolist()]) for i in range(60)]
 
 
-def test_fifo_and_short_sales(spark):
+def test_settled_sales_and_fifo(spark):
+    """Against lots kept one by one: a lot can be sold two sessions later, three at the open."""
     rng = random.Random(11)
     rows = []
-    for n in range(120):
+    for n in range(160):
         side = rng.choice(["BUY", "SELL"])
-        rows.append(("A", rng.choice(["X", "Y"]), day(n // 6), rng.choice(["ATO", "ATC", "LO"]), side, float(rng.randint(10, 30)), rng.randint(1, 9) * 100 if side == "BUY" or n % 5 else 10**9, n, "filled"))
-    df = spark.createDataFrame(rows, "agent string, ticker string, session date, type string, side string, price double, shares bigint, order_no bigint, status string")
-    t = ledger.execute(df, CFG)
-    lots = ledger.fifo_lots(t).toPandas()
+        status = rng.choice(["filled", "filled", "filled", "unfilled_limit"])
+        qty = None if side == "BUY" else rng.choice(["all", "100", "300", "700"])
+        shares = rng.randint(0, 9) * 100 if side == "BUY" else None if qty == "all" else int(qty)
+        rows.append(("A", rng.choice(["X", "Y"]), day(n // 6), rng.choice(["ATO", "ATC", "LO"]), side, float(rng.randint(10, 30)), qty, shares, n, status))
+    df = spark.createDataFrame(rows, "agent string, ticker string, session date, type string, side string, price double, qty string, shares bigint, order_no bigint, status string")
+    cal = spark.createDataFrame([(day(i), i) for i in range(40)], "date date, di bigint")
+    got = {r.order_no: (r.status, r.shares) for r in ledger.settle_sales(df, cal, CFG).collect()}
     rank = {("SELL", "ATO"): 0, ("BUY", "ATO"): 1, ("SELL", "ATC"): 3, ("BUY", "ATC"): 4}
-    book, want, done = {}, {}, {}
-    for r in sorted(rows, key=lambda r: (r[2], rank.get((r[4], r[3]), 2), r[7])):
-        q = book.setdefault(r[1], [])
-        if r[4] == "BUY":
-            q.append([r[7], r[6]])
-            done[r[7]] = r[6]
+    book, want, lots_want = {}, {}, {}
+    for agent, name, d, kind, side, price, qty, shares, n, status in sorted(rows, key=lambda r: (r[2], rank.get((r[4], r[3]), 2), r[8])):
+        i, lots = (d - day(0)).days, book.setdefault(name, [])
+        if side == "BUY":
+            if status == "filled" and shares:
+                lots.append([n, i, shares])
+            want[n] = (status, shares if status == "filled" else None) if status != "filled" or shares else ("no_cash", None)
+            continue
+        free = [x for x in lots if i - x[1] >= (3 if kind == "ATO" else 2) and x[2]]
+        left = sum(x[2] for x in free) if qty == "all" else min(shares, sum(x[2] for x in free))
+        if not left:
+            want[n] = ("not_sellable_T+2" if any(x[2] for x in lots) else "no_position", None)
             continue
-        left = min(r[6], sum(x[1] for x in q))
-        if left:
-            done[r[7]] = left
-        while left:
-            take = min(left, q[0][1])
-            want[(q[0][0], r[7])] = take
-            q[0][1] -= take
+        want[n] = (status, left if status == "filled" else None)
+        for x in free if status == "filled" else []:
+            take = min(left, x[2])
+            if take:
+                lots_want[(x[0], n)] = take
+            x[2] -= take
             left -= take
-            if q[0][1] == 0:
-                q.pop(0)
-    assert {r.order_no: r.shares for r in t.collect()} == done
-    assert {(a, b): q for a, b, q in zip(lots.buy_no, lots.sell_no, lots.qty)} == want
+    assert got == want and {"not_sellable_T+2", "no_position", "no_cash", "filled"} <= {s for s, _ in want.values()}
+    lots = ledger.fifo_lots(ledger.execute(df, cal, CFG)).toPandas()
+    assert {(a, b): q for a, b, q in zip(lots.buy_no, lots.sell_no, lots.qty)} == lots_want
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_repeated_keys_in_a_batch_do_not_depend_on_partitions(spark, partitions):
+    base = spark.createDataFrame([("X", day(0), 1.0)], "ticker string, date date, close double")
+    rows = [("X", day(1), float(n % 37), n) for n in range(1000)]
+    new = spark.createDataFrame(rows, "ticker string, date date, close double, seq bigint").repartition(partitions)
+    last = ingest.upsert(base, new, seq="seq").where(F.col("date") == F.lit(day(1))).first().close
+    assert last == float(999 % 37)
+    assert ingest.upsert(base, new).where(F.col("date") == F.lit(day(1))).first().close == 36.0
+
+
+def test_replaced_ticker_without_full_history_stops(spark):
+    bar = "ticker string, date date, open double, high double, low double, close double, volume double, turnover double"
+    base = spark.createDataFrame([("X", day(i), 10.0, 10.0, 10.0, 10.0, 1.0, 1.0) for i in range(12)], bar)
+    recent = base.withColumn("close", F.col("close") * 0.8)
+    with pytest.raises(ValueError, match="full history"):
+        ingest.cdc_merge(base, recent, base.limit(0), CFG)
 
 
 def test_match_intervals_simple(spark):

@@ -50,11 +50,11 @@ def cooldown(events: DataFrame, cfg: Config, key: tuple[str, ...] = ("ticker",),
     return events.join(kept, [*key, "di"])
 
 
-def event_sets(e: DataFrame, cfg: Config, systems=SYSTEMS) -> DataFrame:
-    """Buyable events of every system after cooldown, labelled by system."""
+def event_sets(e: DataFrame, cfg: Config, systems=SYSTEMS, within: tuple[str, ...] = ()) -> DataFrame:
+    """Buyable events of every system after cooldown, labelled by system. within: columns (a period) that a cooldown never crosses."""
     hit = lambda c, reg: F.col(c) & F.col("buyable") & (F.col("regime_on") if reg else F.lit(True))
     tags = F.array_compact(F.array(*[F.when(hit(c, reg), F.lit(n)) for n, c, reg in systems]))
-    return cooldown(e.withColumn("system", F.explode(tags)), cfg, ("system", "ticker"))
+    return cooldown(e.withColumn("system", F.explode(tags)), cfg, (*within, "system", "ticker"))
 
 
 def event_benchmarks(e: DataFrame, ev: DataFrame, index_fwd: DataFrame, cfg: Config, repeats: int, by: tuple[str, ...] = ("system",)) -> DataFrame:
@@ -128,10 +128,14 @@ def timing_verdict(t: DataFrame) -> DataFrame:
         "verdict", F.when(F.expr(" and ".join(names)), "GO").when(~F.col("enough_days"), "NOT ENOUGH EVIDENCE").otherwise("NO-GO"))
 
 
+def period_of(split_date: str) -> Column:
+    """IS before the split date, OOS from it on."""
+    return F.when(F.col("date") < F.lit(split_date).cast("date"), "IS").otherwise("OOS")
+
+
 def take_profit_stats(tp: DataFrame, market: DataFrame, split_date: str) -> DataFrame:
     """(period, tp): trades, mean net, edge over market, hit rate, mean sessions held; tp 0 is the base rule."""
-    p = F.when(F.col("date") < F.lit(split_date).cast("date"), "IS").otherwise("OOS")
-    d = tp.join(F.broadcast(market), "date", "left").withColumn("period", p)
+    d = tp.join(F.broadcast(market), "date", "left").withColumn("period", period_of(split_date))
     return d.groupBy("period", "tp").agg(
         F.count(F.lit(1)).alias("n_trades"), F.avg("net").alias("net_per_trade"), F.avg(F.col("net") - F.col("market")).alias("vs_market"),
         F.avg(F.col("tp_hit").cast("double")).alias("tp_hit_rate"), F.avg("held").alias("avg_held"))

@@ -2,16 +2,8 @@
 
 from __future__ import annotations
 
-from importlib import import_module
-
+from tidemark.plans.catalogue import (  # noqa: F401  importing a module registers its queries
+    backtest, brief, daily, events, features, ingest, labels, learning, ledger, livelog, quality, selection, streams, universe)
 from tidemark.plans.catalogue.registry import ORACLES, QUERIES
 
-for _m in ("ingest", "quality", "features", "universe", "labels", "selection", "backtest", "events", "livelog", "ledger",
-           "brief", "learning", "streams", "daily"):
-    try:
-        import_module(f"tidemark.plans.catalogue.{_m}")
-    except ModuleNotFoundError as e:
-        if not str(e.name).endswith(f"catalogue.{_m}"):
-            raise
-
 __all__ = ["QUERIES", "ORACLES"]

@@ -10,8 +10,8 @@ from tidemark.plans.catalogue.selection import SOFT, topk
 from tidemark.plans.catalogue.sqltext import chain, pct
 
 OC = chain("oc")
-B = 200           # bootstrap repeats of these queries
-R = 50            # random repeats of these queries
+B = 2000          # bootstrap repeats of these queries
+R = 200           # random repeats of these queries
 
 BASKET = """
 bk0 as (select date, count(*) filter (buyable) n, count(*) filter (not buyable) n_skip_ceiling, avg("real") filter (buyable) gross,

@@ -33,7 +33,7 @@ def ran(ws: Workspace):
                        spark.createDataFrame([], SIGNALS), spark.createDataFrame([], "ticker string"))
     idx = ws.index().withColumn("turnover", F.lit(None).cast("double")).select(*BAR)
     batch = all_bars.unionByName(idx).where(F.col("date") > cut)
-    return run_daily(state, hash_score, ws.cfg.but(boot=50), "2001-11-12 10:00:00", batch)
+    return run_daily(state, hash_score, ws.cfg, "2001-11-12 10:00:00", batch)
 
 
 @query("daily_run_log", chain("oc") + ",\nlg as (select * from scored where date >= date '2001-04-01')," + topk("lg", "p_up_5", "sel") + """

@@ -12,8 +12,8 @@ from tidemark.plans.catalogue.registry import query, report
 from tidemark.plans.catalogue.sqltext import chain
 from tidemark.session import materialise
 
-R = 20
-B = 100
+R = 200
+B = 2000
 IS_END = "2000-01-01"
 
 COND = """
@@ -169,7 +169,8 @@ def timing_verdict(ws):
 
 def tp_rows(ws):
     """Base rule (tp 0) and every level for the capitulation events."""
-    ev = events(ws).where("system = 'capitulation'").select("ticker", "date", "di", "real", "net")
+    parts = flags(ws).withColumn("period", op.period_of(IS_END))       # the period is chosen first, then the cooldown runs
+    ev = op.event_sets(parts, ws.cfg, within=("period",)).where("system = 'capitulation'").select("ticker", "date", "di", "real", "net")
     tp = labels.take_profit(ev, ws.panel(), ws.calendar(), LEVELS, ws.cfg).select("ticker", "date", "tp", "net", "held", "tp_hit")
     base = ev.select("ticker", "date", F.lit(0.0).alias("tp"), "net", F.lit(ws.cfg.horizon).alias("held"), F.lit(False).alias("tp_hit"))
     return tp.unionByName(base)
@@ -180,7 +181,8 @@ def tp_stats(ws):
     return op.take_profit_stats(tp_rows(ws), market, IS_END)
 
 
-TPS = EV + """,
+TPS = chain("oc", "cal") + "," + COND + "," + SETS + """,
+syp as (select case when date < date '2000-01-01' then 'IS' else 'OOS' end period, * from sy),""" + cool_sql("syp", "period, system, ticker", "ev") + """,
 e9 as (select ticker, date, di, "real", net from ev where system = 'capitulation'),
 px as (select ticker, di, open, high from panel join cal using (date)),
 tpj as (select e.*, p1.open entry, p3.open o3, p3.high h3, p4.open o4, p4.high h4, p5.open o5, p5.high h5, t.tp,
