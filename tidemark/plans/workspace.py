@@ -20,7 +20,7 @@ from tidemark.session import materialise, materialise_by
 PANEL_CONFIG = Config(
     train_start="1999-01-01", train_end="2001-03-31", test_start="2001-04-01",
     folds=(("2000-04-01", "2000-06-30"), ("2000-07-01", "2000-09-30"), ("2000-10-01", "2000-12-31"), ("2001-01-01", "2001-03-31")),
-    ticker_pattern="[A-Z0-9]{6}", first_date="1995-01-01", exch_since="1995-01-01", liq_min=90_000.0, boot=200, rsi_max=42.0, vol_min=1.05,
+    ticker_pattern="[A-Z0-9]{6}", first_date="1995-01-01", exch_since="1995-01-01", liq_min=90_000.0, boot=2000, rsi_max=42.0, vol_min=1.05,
 )
 
 _store: dict[tuple, DataFrame] = {}
