@@ -163,3 +163,22 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     failed = rejects["short"] | rejects["repeats"]
     rest = first_rejection([n for n in order if n not in BASE], rejects)
     return c.select("doc_id", *COUNTS, failed.alias("base_failed"), F.when(failed, False).otherwise(rest.isNull()).alias("kept"))
+
+
+# The same report in DuckDB SQL. Windows are compared as texts.
+ORACLE_SQL = rf"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+w as (select *, list_filter(string_split_regex(t, '{SPACES}'), lambda x: x <> '') as w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l from d),
+c as (select *, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars, (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
+      (len(l) - len(list_distinct(l)))::bigint as n_dup_lines, len(l) as n_lines from w),
+x as (select r, unnest(range(1, n_words - {WINDOW} + 2)) as i, w from c where n_words > {WINDOW}),
+g as (select r, i, array_to_string(w[i:i + {WINDOW} - 1], ' ') as g from x),
+h as (select r, i from (select r, i, count(*) over (partition by r, g) as n from g) where n > 1),
+p as (select r, sum(least({WINDOW}, coalesce(nxt - i, {WINDOW})))::bigint as n_repeat_words from (select r, i, lead(i) over (partition by r order by i) as nxt from h) group by r),
+k as (select c.*, coalesce(p.n_repeat_words, 0)::bigint as n_repeat_words from c left join p using (r)),
+v as (select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {REPEAT_PCT} * n_words as base_failed from k)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not (base_failed or 100 * n_symbols > {SYMBOL_PCT} * n_words or 100 * n_dup_lines > {DUP_LINE_PCT} * n_lines
+            or 100 * (length(t) - length(regexp_replace(t, '[A-Z]+', '', 'g'))) > {CAPS_PCT} * word_chars
+            or 100 * (length(t) - length(regexp_replace(t, '[0-9]+', '', 'g'))) > {DIGIT_PCT} * word_chars) as kept
+from v"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, embedding_dedup, jaccard_join, packing, quality_rules, secrets, token_store
+from tidemark.llm import bpe, embedding_dedup, jaccard_join, licenses, packing, quality_model, quality_rules, secrets, token_store, toxicity
 from tidemark.llm.common import documents, table
 from tidemark.llm.library import read_tokenizer
 
@@ -30,11 +30,28 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(documents(spark, sf_dir))
 
 
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicate_components(documents(spark, sf_dir), jaccard_join.Likeness(3, 90, 100))
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    chain = toxicity.fit(docs, toxicity.label_categories(table(spark, sf_dir, "labels")), toxicity.CATEGORIES)
+    return toxicity.score_documents(docs, chain)
+
+
+@query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(documents(spark, sf_dir))
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
@@ -57,3 +74,7 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack_documents(documents(spark, sf_dir), tokenizer, end_id=1, capacity=4096)
+
+
+ORACLES["op2_quality_rules"] = quality_rules.ORACLE_SQL
+ORACLES["op6_licenses"] = licenses.oracle_sql()
