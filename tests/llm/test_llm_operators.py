@@ -250,7 +250,7 @@ def test_licence_suppression_keeps_the_longest(spark):
     d = spark.createDataFrame([(1, "x licensed under the Apache License, Version 2.0 and the MIT license")], "doc_id long, text string")
     found = pdf(licenses.scan(d)[1], "start")
     assert found[found.kept]["rule"].tolist() == ["grant:apache-2.0", "title:mit"]
-    assert found[found.kept]["end"].tolist()[0] == 8
+    assert found[found.kept]["end"].tolist()[0] == 9
 
 
 def _ranks() -> list[bytes]:
