@@ -134,10 +134,13 @@ def test_split_quantile_and_row_number(spark):
     assert (a.r.to_numpy() == b.r.to_numpy()).all() and (a.n.to_numpy() == b.n.to_numpy()).all()
 
 
-def test_value_range_keeps_order(spark):
-    x = sorted(np.concatenate([np.random.default_rng(0).normal(0, 10.0**k, 50) for k in range(-8, 9)]).tolist() + [0.0])
-    b = spark.createDataFrame([(v,) for v in x], "v double").select(ranks.value_range(F.col("v"))).toPandas().iloc[:, 0].tolist()
-    assert b == sorted(b)
+def test_measured_ranges_keep_order_and_split_narrow_bands(spark):
+    x = np.concatenate([np.random.default_rng(0).normal(0, 10.0**k, 50) for k in range(-8, 9)]).tolist() + [0.0, float("inf"), float("-inf")]
+    narrow = (0.5 + np.arange(100_000) / 1e8).tolist()
+    df = spark.createDataFrame(pd.DataFrame([("wide", v) for v in x] + [("narrow", v) for v in narrow], columns=["g", "v"]))
+    got = ranks.add_range(df, ["g"], "v", "b").toPandas().sort_values(["g", "v"])
+    assert all(d.b.is_monotonic_increasing for _, d in got.groupby("g"))
+    assert got[got.g == "narrow"].b.nunique() == ranks.RANGES and got[got.g == "narrow"].b.value_counts().max() < 4000
 
 
 # ---- labels ----

@@ -14,14 +14,17 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialise
 
-_STEPS = 64           # value ranges per factor e
-_SHIFT = 50_000       # keeps the range number of any positive double positive
+RANGES = 64           # value ranges per group
 
 
-def value_range(x: Column) -> Column:
-    """Order-preserving range number: signed, logarithmic, independent of the data."""
-    mag = F.floor(F.ln(F.abs(x)) * F.lit(float(_STEPS))) + F.lit(_SHIFT)
-    return F.when(x == 0.0, F.lit(0).cast("long")).when(x > 0, mag).otherwise(-mag)
+def add_range(counted: DataFrame, by: list[str], value: str, out: str) -> DataFrame:
+    """Order-preserving range number of every row, by cut points measured in its group.
+
+    counted holds every value of a group once, so the ranges of a group are about equal however narrow its values are;
+    infinities and NaN (largest) are values like others. A sketch per group gives the cuts; no group meets in one task.
+    """
+    cuts = counted.groupBy(*by).agg(F.percentile_approx(value, [i / RANGES for i in range(1, RANGES)], 2000).alias("_cuts"))
+    return counted.join(cuts, by).withColumn(out, F.size(F.filter("_cuts", lambda c: c < F.col(value))).cast("long")).drop("_cuts")
 
 
 def _direct(df: DataFrame, by: list[str], specs: dict, kind: str) -> DataFrame:
@@ -47,8 +50,7 @@ def _split(df: DataFrame, by: list[str], key: list[str], specs: dict, kind: str)
     df = materialise(df, "rank_in")
     long = (df.select(*dict.fromkeys([*by, *key]), F.explode(entries).alias("e"))
               .select(*dict.fromkeys([*by, *key]), "e.m", (F.col("e.v") + 0.0).alias("v")).where("v is not null"))
-    cnt = materialise(long.groupBy(*by, "m", "v").agg(F.count(F.lit(1)).alias("n"))
-                          .withColumn("b", value_range(F.col("v"))), "rank_counts")
+    cnt = materialise(add_range(long.groupBy(*by, "m", "v").agg(F.count(F.lit(1)).alias("n")), [*by, "m"], "v", "b"), "rank_counts")
     run = Window.partitionBy(*by, "m").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
     ranges = (cnt.groupBy(*by, "m", "b").agg(F.sum("n").alias("bn"))
                  .withColumn("before", F.sum("bn").over(run) - F.col("bn"))
@@ -79,18 +81,19 @@ def add_row_number(df: DataFrame, by: list[str], value: str, tie: str, out: str,
                    split: bool = False) -> DataFrame:
     """1-based position by (value, tie) among non-null values, and their count; tie is a string column.
 
-    split: equal values are cut again by the first characters of the tie column, so a value shared by many rows
-    is not numbered in one task either.
+    split: equal values are cut again by the first characters of the tie column (all but the last two of its longest
+    text), so a value shared by many rows is not numbered in one task either.
     """
     df = df.where(F.col(value).isNotNull())
     if not split:
         w = Window.partitionBy(*by)
         return df.withColumns({out: F.row_number().over(w.orderBy(value, tie)).cast("long"),
                                total: F.count(F.lit(1)).over(w)})
-    df = materialise(df.withColumns({"_v": F.col(value) + 0.0, "_t": F.substring(F.col(tie).cast("string"), 1, 4)}), "row_number_in")
+    df = materialise(df.withColumn("_v", F.col(value) + 0.0), "row_number_in")
+    longest = df.agg(F.max(F.length(F.col(tie).cast("string")))).first()[0] or 0
+    df = df.withColumn("_t", F.substring(F.col(tie).cast("string"), 1, max(1, longest - 2)))
     ties = materialise(df.groupBy(*by, "_v", "_t").agg(F.count(F.lit(1)).alias("_cnt")), "tie_counts")
-    vals = ties.groupBy(*by, "_v").agg(F.sum("_cnt").alias("_cnt")).withColumn("_b", value_range(F.col("_v")))
-    vals = materialise(vals, "value_counts")
+    vals = materialise(add_range(ties.groupBy(*by, "_v").agg(F.sum("_cnt").alias("_cnt")), by, "_v", "_b"), "value_counts")
     run = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     ranges = (vals.groupBy(*by, "_b").agg(F.sum("_cnt").alias("_in_range"))
                   .select(*by, "_b", (F.sum("_in_range").over(run) - F.col("_in_range")).alias("_before"),
@@ -116,8 +119,7 @@ def group_quantile(df: DataFrame, by: list[str], value: str, q: float, out: str,
         return df.groupBy(*by).agg(F.percentile(value, q).alias(out))
     one = by or ["_g"]
     base = df.select(*by, F.col(value).alias("_v")) if by else df.select(F.lit(1).alias("_g"), F.col(value).alias("_v"))
-    cnt = materialise(base.groupBy(*one, "_v").agg(F.count(F.lit(1)).alias("_n"))
-                          .withColumn("_b", value_range(F.col("_v"))), "quantile_counts")
+    cnt = materialise(add_range(base.groupBy(*one, "_v").agg(F.count(F.lit(1)).alias("_n")), one, "_v", "_b"), "quantile_counts")
     run = Window.partitionBy(*one).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     pos = (F.col("_t") - 1) * F.lit(q)
     ranges = (cnt.groupBy(*one, "_b").agg(F.sum("_n").alias("_bn"))

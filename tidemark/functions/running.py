@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.ranks import value_range
+from tidemark.functions.ranks import add_range
 from tidemark.session import materialise
 
 
@@ -36,9 +36,8 @@ def match_intervals(left: DataFrame, right: DataFrame, by: list[str], l_cols: li
     """
     a = left.select(*by, "upto", F.struct(*l_cols).alias("_l"), F.lit(None).alias("_r"))
     b = right.select(*by, "upto", F.lit(None).alias("_l"), F.struct(*r_cols).alias("_r"))
-    e = (a.unionByName(b).groupBy(*by, "upto").agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
-          .withColumn("_b", value_range(F.col("upto").cast("double"))))
-    e = materialise(e, "merged_ends")
+    e = materialise(a.unionByName(b).groupBy(*by, "upto").agg(F.max("_l").alias("_l"), F.max("_r").alias("_r")), "ends")
+    e = materialise(add_range(e, by, "upto", "_b"), "merged_ends")
     w = Window.partitionBy(*by, "_b").orderBy("upto")
     ahead, later = w.rowsBetween(0, Window.unboundedFollowing), Window.partitionBy(*by).orderBy("_b")
     after = later.rowsBetween(1, Window.unboundedFollowing)

@@ -52,7 +52,7 @@ def admit(orders: DataFrame, eligible: DataFrame, industry: DataFrame, agents: D
     scope = agents.select(F.col("id").alias("agent"), F.explode("industries").alias("industry")).distinct().withColumn("_scope", F.lit(True))
     j = (orders.join(eligible.select("ticker", "session", F.lit(True).alias("_elig")), ["ticker", "session"], "left")
                .join(industry.select("ticker", "industry"), "ticker", "left")
-               .join(F.broadcast(scope), ["agent", "industry"], "left"))       # agents x industries
+               .join(scope, ["agent", "industry"], "left"))
     late = F.col("committed_at") > F.col("session").cast("timestamp") + F.make_dt_interval(hours=F.lit(open_hour_utc))
     buy = F.col("side") == "BUY"
     rej = (F.when(truth(late), "late_book").when(buy & F.col("_elig").isNull(), "not_eligible").when(buy & F.col("_scope").isNull(), "out_of_scope"))
@@ -207,7 +207,7 @@ def index_curve(index: DataFrame, dates: DataFrame, capital: float, cfg: Config)
 def counterparts(buys: DataFrame, eligible: DataFrame, industry: DataFrame, agents: DataFrame, cfg: Config) -> DataFrame:
     """For every buy one eligible name of the agent's scope, drawn by a hash of (agent, session, ticker)."""
     scope = agents.select(F.col("id").alias("agent"), F.explode("industries").alias("industry")).distinct()
-    pool = (eligible.select("ticker", "session").join(industry.select("ticker", "industry"), "ticker").join(F.broadcast(scope), "industry")   # agents x industries
+    pool = (eligible.select("ticker", "session").join(industry.select("ticker", "industry"), "ticker").join(scope, "industry")
                     .withColumn("_h", draw32("ix", F.col("ticker")).cast("double")))
     pool = add_row_number(pool, ["agent", "session"], "_h", "ticker", "pos", "size", cfg.split)
     size = pool.groupBy("agent", "session").agg(F.max("size").alias("size"))
@@ -256,7 +256,7 @@ def ticket_maths(buys: DataFrame, navs: DataFrame) -> DataFrame:
 
     navs: agent, nav, risk_per_trade, max_weight.
     """
-    j = buys.join(F.broadcast(navs), "agent")               # one row per agent
+    j = buys.join(navs, "agent")
     e, sl, tp, v = F.col("limit"), F.col("stop_loss"), F.col("take_profit"), F.col("value_vnd")
     stop, goal = change(sl, e), change(tp, e)
     both = (stop < 0) & (goal > 0)

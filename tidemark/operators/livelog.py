@@ -38,7 +38,10 @@ def record(log: DataFrame, scored: DataFrame, picks: DataFrame, dates: DataFrame
     A quarantined name's signal is stored as false but still starts its cooldown within the batch.
     """
     want = dates.select("date").distinct().join(log.select(F.col("data_date").alias("date")).distinct(), "date", "left_anti")
-    f = add_conditions(scored, calendar, switch, cfg).join(F.broadcast(want), "date", "left_semi")        # sessions only
+    back = F.explode(F.array(*[F.col("di") - k for k in range(3)])).alias("di")             # the conditions look two sessions back
+    near = want.join(calendar, "date").select(back).distinct().join(calendar, "di").select("date")
+    f = add_conditions(scored.join(F.broadcast(near), "date", "left_semi"), calendar, switch, cfg)
+    f = f.join(F.broadcast(want), "date", "left_semi")                                      # sessions only
     prior = (log.where("tn06r_signal").select("ticker", F.col("data_date").alias("date")).join(F.broadcast(calendar), "date")
                 .groupBy("ticker").agg(F.max("di").alias("last")))
     hits = cooldown(f.where("cond_cap and regime_on").select("ticker", "date", "di"), cfg, prior=prior)

@@ -77,6 +77,8 @@ def run_daily(state: DailyState, score: Callable[[DataFrame], DataFrame], cfg: C
     if batch is not None:
         state, status = take_batch(state, batch, cfg)
     state = checked(state, status, now_utc[:10], cfg)
+    names = state.panel.groupBy("date").count().agg(F.max("count")).first()[0]              # measured: decides the plan of the cross-sections
+    cfg = cfg.but(names_bound=names or 0)
     sc = scored_frame(state, score, cfg, now_utc, asof)
     out = materialise(labels.add_outcome(sc.where("fwd_ret_5 is not null"), cfg), "outcomes")
     test = out.where(F.col("date") >= F.lit(cfg.test_start).cast("date"))
