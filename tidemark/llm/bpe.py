@@ -166,27 +166,21 @@ class Codec:
                     out[i] = ids
         return out
 
-    def encode_chunks(self, chunks: list[str]) -> list[np.ndarray]:
+    def encode_chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of chunks; every match of the pattern is merged on its own, each distinct one once."""
         if len(self.known) > 300_000:
             self.known.clear()
         split = [self.find(c) for c in chunks]
         new = list({p for s in split for p in s if p not in self.known})
         self.known.update(zip(new, self.encode_pieces([p.encode("utf-8", "surrogatepass") for p in new]), strict=True))
-        return [self.known[s[0]] if len(s) == 1 else np.concatenate([self.known[p] for p in s]) if s else np.empty(0, np.int32) for s in split]
+        size = np.fromiter((sum(len(self.known[p]) for p in s) for s in split), np.int64, len(split))
+        flat = [self.known[p] for s in split for p in s]
+        return np.concatenate(flat) if flat else np.empty(0, np.int32), size
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.token.__getitem__, ids.tolist()))
 
 
-def encoded(texts: Iterator[pd.Series], codec: Codec) -> Iterator[list[np.ndarray]]:
-    """Ids of every text of a series, a slice of the series at a time."""
-    table = ChunkTable(codec.encode_chunks)
-    for series in texts:
-        for a, b in slices(series):
-            yield table.ids([spaced_chunks(t) for t in series.iloc[a:b]])
-
-
 def encode(docs: DataFrame, ranks: list[bytes], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and `ids` (array of int) of every document. ranks: lines of the rank file."""
     @F.pandas_udf("array<int>")

@@ -2,6 +2,8 @@
 
 Cut at single spaces between two characters that are not white space: the public split pattern never matches across such a place
 except for the space itself, which opens the next chunk. Ids of a text are then gathered from a flat table by numpy.
+
+A chunk is written as its string; one that opens with such a space is written without it, any other chunk as a one-element tuple.
 """
 
 from __future__ import annotations
@@ -10,84 +12,94 @@ from collections.abc import Callable
 
 import numpy as np
 
+Chunk = str | tuple[str]
+
 
 class _Codes(dict):
-    """part -> number; new parts are listed in `new`."""
+    """chunk -> number; new chunks are listed in `new`."""
 
     def __init__(self) -> None:
-        self.new: list[str] = []
+        self.new: list[Chunk] = []
 
-    def __missing__(self, part: str) -> int:
-        code = self[part] = len(self)
-        self.new.append(part)
+    def __missing__(self, chunk: Chunk) -> int:
+        code = self[chunk] = len(self)
+        self.new.append(chunk)
         return code
 
 
 class ChunkTable:
-    """Remembers the ids of chunks. encode(list of chunks) -> list of id arrays. Emptied when it holds `limit` chunks."""
+    """Remembers the ids of chunks. encode(list of texts) -> (ids of all of them, number of ids of each).
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], limit: int = 600_000) -> None:
-        self.encode, self.limit = encode, limit
+    opener: what the first kind of chunk opens with. Emptied when it holds `limit` chunks.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], opener: str = " ", limit: int = 500_000) -> None:
+        self.encode, self.opener, self.limit = encode, opener, limit
         self._clear()
 
     def _clear(self) -> None:
         self.codes, self.flat, self.used = _Codes(), np.empty(1 << 16, np.int32), 0
         self.start, self.size, self.n = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32), 0
 
-    def _add(self, chunks: list[str]) -> None:
+    def _add(self, chunks: list[Chunk]) -> None:
         if not chunks:
             return
-        ids = self.encode(chunks)
-        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
-        total, end = int(sizes.sum()), self.n + len(ids)
-        while self.used + total > len(self.flat):
+        ids, sizes = self.encode([self.opener + c if isinstance(c, str) else c[0] for c in chunks])
+        end = self.n + len(sizes)
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
         while end > len(self.size):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.size = np.concatenate([self.size, np.zeros_like(self.size)])
         self.start[self.n:end] = self.used + np.cumsum(sizes) - sizes
         self.size[self.n:end] = sizes
-        if total:
-            self.flat[self.used:self.used + total] = np.concatenate(ids)
-        self.used, self.n = self.used + total, end
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.used, self.n = self.used + len(ids), end
 
-    def ids(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """Ids of texts that are given as chunk lists."""
+    def gather(self, texts: list[list[Chunk]]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each text begins and the last ends); texts are chunk lists."""
         if len(self.codes) > self.limit:
             self._clear()
-        coded = [np.fromiter(map(self.codes.__getitem__, t), np.int64, len(t)) for t in texts]
+        code = np.concatenate([np.fromiter(map(self.codes.__getitem__, t), np.int64, len(t)) for t in texts]) if texts else np.empty(0, np.int64)
         self._add(self.codes.new)
         self.codes.new = []
-        out = []
-        for c in coded:
-            size = self.size[c].astype(np.int64)
-            ends = np.cumsum(size)
-            total = int(ends[-1]) if len(c) else 0
-            out.append(self.flat[np.repeat(self.start[c] - (ends - size), size) + np.arange(total)])
-        return out
+        size = self.size[code].astype(np.int64)
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(code) else 0
+        flat = self.flat[np.repeat(self.start[code] - (ends - size), size) + np.arange(total)]
+        return flat, np.concatenate([[0], ends])[np.cumsum([0, *map(len, texts)])]
+
+    def ids(self, texts: list[list[Chunk]]) -> list[np.ndarray]:
+        flat, cut = self.gather(texts)
+        return [flat[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
-def spaced_chunks(text: str | None) -> list[str]:
+def spaced_chunks(text: str | None) -> list[Chunk]:
     """Chunks of a text, cut before every single space between two other characters; joined they are the text."""
     if not text:
         return []
     parts = text.split(" ")
-    out = [parts[0]]
-    if "" not in parts and not any(x[0].isspace() or x[-1].isspace() for x in parts):
-        return out + [" " + x for x in parts[1:]]
-    open_end = not parts[0] or parts[0][-1].isspace()
+    words = text.split()
+    if len(text) - sum(map(len, words)) == len(words) - 1:  # white space only ever stands alone and between words
+        parts[0] = (parts[0],)
+        return parts
+    out, last, opened = [], parts[0], False
+    open_end = not last or last[-1].isspace()
     for x in parts[1:]:
         if open_end or not x or x[0].isspace():
-            out[-1] += " " + x
+            last += " " + x
         else:
-            out.append(" " + x)
+            out.append(last if opened else (last,))
+            last, opened = x, True
         open_end = not x or x[-1].isspace()
+    out.append(last if opened else (last,))
     return out
 
 
-def spaceless_chunks(text: str | None) -> list[str]:
+def spaceless_chunks(text: str | None) -> list[Chunk]:
     """Pieces between spaces and line feeds, for tokenizers that drop white space."""
-    return [x for x in text.replace("\n", " ").split(" ") if x] if text else []
+    parts = text.replace("\n", " ").split(" ") if text else []
+    return [x for x in parts if x] if "" in parts else parts
 
 
 def slices(texts, chars: int = 4_000_000):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Iterator
 
@@ -9,7 +10,7 @@ import numpy as np
 import pandas as pd
 from tokenizers import Tokenizer
 
-from tidemark.llm.chunks import ChunkTable, slices
+from tidemark.llm.chunks import Chunk, ChunkTable, slices
 
 
 def read_tokenizer(path: str) -> str:
@@ -18,27 +19,63 @@ def read_tokenizer(path: str) -> str:
         return f.read()
 
 
-def chunk_encoder(tokenizer: str) -> Callable[[list[str]], list[np.ndarray]]:
-    """Chunks are given to the library as separate words of one input, so that one call serves many of them."""
+def _byte_lengths(tokenizer: str) -> np.ndarray | None:
+    """Bytes per id where tokens spell the text byte by byte: byte-level splitting, no normaliser, no word ends. Else None."""
+    spec = json.loads(tokenizer)
+    if spec["normalizer"] or (spec["pre_tokenizer"] or {}).get("type") != "ByteLevel" or spec["model"].get("end_of_word_suffix"):
+        return None
+    ids = {**spec["model"]["vocab"], **{a["content"]: a["id"] for a in spec["added_tokens"]}}
+    size = np.zeros(max(ids.values()) + 1, np.int64)
+    size[list(ids.values())] = list(map(len, ids))
+    return size
+
+
+def chunk_encoder(tokenizer: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+    """Chunks are given to the library as separate words of one input, so that one call serves many of them.
+
+    Ids fall to their chunks by the bytes they spell where that is exact, else by the library's word numbers.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     t = Tokenizer.from_str(tokenizer)
     t.encode_special_tokens = True  # their strings in a text are ordinary text
+    spelt = _byte_lengths(tokenizer)
 
-    def encode(chunks: list[str]) -> list[np.ndarray]:
-        out = []
+    def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
         for at in range(0, len(chunks), 512):
             group = chunks[at:at + 512]
-            e = t.encode(group, is_pretokenized=True, add_special_tokens=False)
-            size = np.bincount(np.array(e.word_ids, np.int64), minlength=len(group)) if e.ids else np.zeros(len(group), np.int64)
-            out += np.split(np.array(e.ids, np.int32), np.cumsum(size)[:-1])
-        return out
+            if spelt is None:
+                e = t.encode(group, is_pretokenized=True, add_special_tokens=False)
+                ids.append(np.array(e.ids, np.int32))
+                sizes.append(np.bincount(np.array(e.word_ids, np.int64), minlength=len(group)))
+                continue
+            ids.append(np.array(t.encode_batch_fast([group], is_pretokenized=True, add_special_tokens=False)[0].ids, np.int32))
+            chunk_ends = np.cumsum([len(c.encode()) for c in group])
+            last = np.searchsorted(np.cumsum(spelt[ids[-1]]), chunk_ends, "right")
+            sizes.append(np.diff(last, prepend=0))
+        return np.concatenate(ids), np.concatenate(sizes)
 
     return encode
 
 
-def encoded(texts: Iterator[pd.Series], tokenizer: str, cut: Callable[[str | None], list[str]]) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """(index of the series' row, ids of the rows from there on) for slices of every series; a series ends with (its length, [])."""
-    table = ChunkTable(chunk_encoder(tokenizer))
+_tables: dict[tuple[int, str], ChunkTable] = {}
+
+
+def _table(tokenizer: str, opener: str) -> ChunkTable:
+    """The worker's table for a tokenizer; tasks of one worker share what they have encoded."""
+    key = (hash(tokenizer), opener)
+    if key not in _tables:
+        _tables.clear()
+        _tables[key] = ChunkTable(chunk_encoder(tokenizer), opener)
+    return _tables[key]
+
+
+def encoded(texts: Iterator[pd.Series], tokenizer: str, cut: Callable[[str | None], list[Chunk]], opener: str) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(index of the series' row, ids of the rows from there on) for slices of every series; a series ends with (its length, []).
+
+    cut: text to chunks; opener: what a chunk that is a plain string opens with.
+    """
+    table = _table(tokenizer, opener)
     for series in texts:
         for a, b in slices(series):
             yield a, table.ids([cut(t) for t in series.iloc[a:b]])

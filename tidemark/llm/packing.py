@@ -182,7 +182,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_c
     @F.pandas_udf("array<struct<piece:int,start:long,length:long,ids_crc32:long>>")
     def pieces(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         end, out = np.array([end_id], np.int32), []
-        for _, rows in encoded(texts, tokenizer, spaceless_chunks):
+        for _, rows in encoded(texts, tokenizer, spaceless_chunks, ""):
             for ids in rows:
                 raw = np.concatenate([ids, end]).astype("<u4")
                 out.append([{"piece": i, "start": a, "length": min(capacity, len(raw) - a), "ids_crc32": zlib.crc32(raw[a:a + capacity].tobytes())}

@@ -48,7 +48,10 @@ def frequencies(count: np.ndarray) -> np.ndarray:
 
 
 def write_shard(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
-    symbols, index, count = np.unique(ids, return_inverse=True, return_counts=True)
+    count = np.bincount(ids)
+    symbols = np.flatnonzero(count)
+    place, count = np.cumsum(count > 0) - 1, count[symbols]
+    index = place[ids]
     f = frequencies(count)
     c = np.cumsum(f) - f
     blocks = -(-len(ids) // BLOCK)
@@ -155,7 +158,7 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc
             blob = write_shard(names, [len(x) for x in held], np.concatenate(held))
             return pd.DataFrame({"part": [part], "seq": [seq], "n_docs": [len(names)], "n_tokens": [size], "shard": [blob]})
 
-        for at, rows in encoded(texts(), tokenizer, spaced_chunks):
+        for at, rows in encoded(texts(), tokenizer, spaced_chunks, " "):
             own = ids_of[-1].iloc[at:at + len(rows)]
             for d, ids in zip(own, rows, strict=True):
                 names.append(None if pd.isna(d) else int(d))
