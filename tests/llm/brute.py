@@ -125,3 +125,14 @@ def cosine_links(vectors: list, labels: list, threshold: float) -> list[tuple[in
             if labels[i] == labels[j] and len(a) == len(b) and a @ b / np.linalg.norm(a) / np.linalg.norm(b) >= threshold:
                 out.append((j, i))
     return out
+
+
+def bins_needed(lengths: list[int], capacity: int) -> int:
+    """Lower bound of Martello and Toth, cut by cut."""
+    best = -(-sum(lengths) // capacity)
+    for a in {x for x in lengths if 2 * x <= capacity}:
+        big = [x for x in lengths if x > capacity - a]
+        mid = [x for x in lengths if capacity - a >= x and 2 * x > capacity]
+        small = [x for x in lengths if capacity >= 2 * x and x >= a]
+        best = max(best, len(big) + len(mid) + max(0, -(-(sum(small) - (len(mid) * capacity - sum(mid))) // capacity)))
+    return best

@@ -4,8 +4,7 @@ Only lengths matter, and there are at most `capacity` different ones: Spark coun
 size does not grow with the data) are packed into patterns with multiplicities, and every piece finds its place by its length and
 its rank within the length. So all pieces share one global packing, and no task or driver ever holds the pieces.
 
-The packing starts with best fit decreasing as incumbent. If that is above the bound ceil(tokens / capacity), bin completion runs:
-around the largest length left, undominated fillings are enumerated largest first (equal sums: the one of fewer pieces dominates),
+The packing starts with best fit decreasing as incumbent. If that is above the lower bound, bin completion runs: around the largest length left, undominated fillings are enumerated largest first (equal sums: the one of fewer pieces dominates),
 each is used as often as its lengths allow, and a branch ends when its waste exceeds what the incumbent leaves. The search visits a
 bounded number of fillings; the incumbent stays when nothing better is found.
 
@@ -149,10 +148,23 @@ def bin_completion(counts: dict[int, int], capacity: int, limit: int, nodes: int
     return None
 
 
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Bins that any packing needs: for every cut a, pieces above half stand alone and those from a on only fit beside pieces of at most capacity - a."""
+    k = np.array(sorted(counts), np.int64)
+    n = np.array([counts[x] for x in k], np.int64)
+    total, number = np.concatenate([[0], np.cumsum(k * n)]), np.concatenate([[0], np.cumsum(n)])
+    upto = lambda x: np.searchsorted(k, x, "right")  # noqa: E731  lengths of at most x
+    cut = np.concatenate([[0], k[k * 2 <= capacity]])
+    half, top, low = upto(capacity // 2), upto(capacity - cut), np.searchsorted(k, cut, "left")
+    alone = number[-1] - number[half]
+    room = (number[top] - number[half]) * capacity - (total[top] - total[half])
+    return int(alone + max(0, (-(-(total[half] - total[low] - room) // capacity)).max(initial=0)))
+
+
 def pack_counts(counts: dict[int, int], capacity: int) -> list[Pattern]:
     """Patterns that use every counted piece exactly once, in as few bins as the search finds."""
     plan = best_fit_decreasing(counts, capacity)
-    bins, bound = sum(n for _, n in plan), -(-sum(k * n for k, n in counts.items()) // capacity)
+    bins, bound = sum(n for _, n in plan), lower_bound(counts, capacity)
     while bins > bound:
         better = bin_completion(dict(counts), capacity, bins)
         if better is None:
