@@ -109,7 +109,7 @@ def _sample(docs: DataFrame, labels: DataFrame, categories: list[str], max_rows:
     known = known.where(" and ".join(f"`{c}` is not null" for c in categories))
     known = known.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     d = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return d.join(known, "doc_id").select("doc_id", "text", *categories)
+    return d.join(F.broadcast(known), "doc_id").select("doc_id", "text", *categories)      # at most max_rows rows, so texts stay where they are
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: list[str], max_rows: int = MAX_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Chain:
