@@ -16,8 +16,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, embedding_dedup, jaccard_join, licenses, packing, quality_model, quality_rules, secrets, token_store, toxicity
+from tidemark.llm.chunks import spaced_chunks, spaceless_chunks
 from tidemark.llm.components import connected_components
-from tidemark.llm.library import read_tokenizer
+from tidemark.llm.library import encoded, read_tokenizer
 from tidemark.llm.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -330,6 +331,34 @@ def test_token_store(spark, edge, empty, monkeypatch):
     assert token_store.read_store(token_store.write_store(empty, tokenizer, 2)).count() == 0
 
 
+def _plain_library(name: str):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(public_tokenizers.path(name))
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+
+
+SPECIAL_TEXTS = ["a<|endoftext|>b", "<|endoftext|>", "<|startoftext|>", "one <|endoftext|> two", "one  <|endoftext|>\n<|startoftext|> two", "x<|startoftext|><|endoftext|>y z",
+                 "<|ENDOFTEXT|> <|endoftext| >", " <|endoftext|>", "plain words only", "word " * 600 + "<|endoftext|>" + " word" * 600, None]
+
+
+@pytest.mark.parametrize(("name", "cut", "opener", "first"), [("byte_bpe_50k.json", spaced_chunks, " ", [64, 50256, 65]), ("word_bpe_49k.json", spaceless_chunks, "", [320, 49407, 321])])
+def test_special_tokens_in_a_text_as_in_the_library(name, cut, opener, first):
+    """add_special_tokens=False and nothing else: the strings of special tokens become their ids."""
+    got = [r.tolist() for _, rows in encoded(iter([pd.Series(SPECIAL_TEXTS, dtype=object)]), read_tokenizer(public_tokenizers.path(name)), cut, opener) for r in rows]
+    assert got == [_plain_library(name)(t) for t in SPECIAL_TEXTS] and got[0] == first
+
+
+def test_special_tokens_in_store_and_pieces(spark):
+    d = spark.createDataFrame(list(enumerate(SPECIAL_TEXTS)), "doc_id long, text string")
+    want = [np.array([*_plain_library("byte_bpe_50k.json")(t), 2], "<u4") for t in SPECIAL_TEXTS]
+    n = np.array([len(x) for x in want])
+    got = pdf(token_store.read_store(token_store.write_store(d, read_tokenizer(public_tokenizers.path("byte_bpe_50k.json")), 2)))
+    assert got["n_tokens"].tolist() == n.tolist() and got["start"].tolist() == (np.cumsum(n) - n).tolist()
+    assert got["ids_crc32"].tolist() == [zlib.crc32(x.tobytes()) for x in want]
+    pieces = packing.pack_documents(d, read_tokenizer(public_tokenizers.path("word_bpe_49k.json")), 1, 4096).toPandas()
+    assert pieces.groupby("doc_id")["length"].sum().to_dict() == {i: len(_plain_library("word_bpe_49k.json")(t)) + 1 for i, t in enumerate(SPECIAL_TEXTS)}
+
+
 def test_shard_reads_any_range_and_sees_damage():
     rng = np.random.default_rng(3)
     ids = np.minimum(rng.geometric(0.01, 70_000), 50_000).astype(np.int32)

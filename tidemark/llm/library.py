@@ -37,7 +37,6 @@ def chunk_encoder(tokenizer: str) -> Callable[[list[str]], tuple[np.ndarray, np.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     t = Tokenizer.from_str(tokenizer)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
     spelt = _byte_lengths(tokenizer)
 
     def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
