@@ -226,7 +226,8 @@ def scorecard(navs: DataFrame, sales: DataFrame, trades: DataFrame, index_nav: D
     closed = sales.groupBy("agent").agg(F.count(F.lit(1)).alias("closed"), F.avg((F.col("pnl") > 0).cast("double")).alias("win_rate"), F.avg("pnl").alias("avg_pnl"))
     buys = trades.where("side = 'BUY'").groupBy("agent").agg(F.count(F.lit(1)).alias("buys"))
     bench = index_nav.select(change(F.max_by("nav", "date"), F.min_by("nav", "date"))).scalar()
-    return last.join(closed, "agent", "left").join(buys, "agent", "left").withColumn("vs_index", F.col("ret_cum") - bench)
+    cards = last.join(closed, "agent", "left").join(buys, "agent", "left")
+    return cards.fillna(0, ["closed", "buys"]).withColumn("vs_index", F.col("ret_cum") - bench)
 
 
 def vs_counterpart(cards: DataFrame, partner_cards: DataFrame) -> DataFrame:

@@ -26,11 +26,8 @@ def limits(ws):
     return ws.frame().select("ticker", "limit").distinct()
 
 
-ORDER_BARS = 20   # the books begin with the panel, so a name is admitted after its first month instead of its first year
-
-
 def eligible(ws):
-    return ws.frame().where((F.col("liq20") >= ws.cfg.liq_min) & (F.col("nbars") > ORDER_BARS)).select("ticker", F.col("date").alias("session"))
+    return ws.frame().where((F.col("liq20") >= ws.cfg.liq_min) & (F.col("nbars") >= ws.cfg.min_bars)).select("ticker", F.col("date").alias("session"))
 
 
 @_stored
