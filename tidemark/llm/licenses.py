@@ -24,7 +24,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
 # Substrings of lower-cased texts without which no rule can match; 'cc' alone is tested with what follows it.
-GATE = ["licen", "reserved", "copyright", "spdx", "domain", "warrant", "permission", "redistribut", "unencumbered", "reproduc", "unauthorized"]
+GATE = ["licen", "reserved", "copyright", "spdx", "domain", "warrant", "permission", "redistribut", "unencumbered", "reproduc", "unauthorized", "applicable"]
 GATE_CC = r"cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+(by|0|zero)"
 
 # label -> (words of its name, alternatives separated by |; the keyword is the longest word all alternatives share or the first one)
