@@ -179,7 +179,7 @@ def link_classes(docs: DataFrame, prints: DataFrame, like: Likeness, id_col: str
     """
     sketch = [f"s{i}" for i in range(SKETCH_WORDS)]
     classes = materialise(prints.where("n > 0").groupBy("sig").agg(
-        F.min("n").alias("n"), F.min(F.struct("doc_id", "th")).alias("first"), *(F.min(s).alias(s) for s in sketch)), "classes")
+        F.min("n").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")).alias("first"), *(F.min(s).alias(s) for s in sketch)), "classes")
     shingles = classes.agg(F.sum("n")).first()[0] or 0
     members = materialise(_shared_blocks(docs, like, text_col, shingles), "shared_blocks")
 
