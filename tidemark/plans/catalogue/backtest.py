@@ -152,7 +152,7 @@ select c.ord::bigint ord, c.name as name, c.pass as pass, (select bool_and(c.pas
 @query("B10_gate", _gate_sql())
 def gate(ws):
     """Six ordered checks on the test period and their conjunction."""
-    cfg = ws.cfg.but(boot=B, min_test_days=20)
+    cfg = ws.cfg.but(boot=B)
     t = ws.outcomes().where(F.col("date") >= F.lit(cfg.test_start).cast("date"))
     g = op.gate(op.strategy_report(t, "p_up_5", cfg, "lightgbm"), op.strategy_report(t, "p_lr", cfg, "logistic"), cfg)
     return g.select(F.posexplode("checks").alias("ord", "c"), "strategy_pass").select((F.col("ord") + 1).alias("ord"), "c.name", "c.pass", "strategy_pass")
