@@ -207,6 +207,28 @@ def take_profit_grid(ws):
     return tp_stats(ws)
 
 
+def tp_full_stats(ws):
+    """Every statistic of E06 per period and level, with hit rate and mean sessions held."""
+    by = ("period", "tp")
+    ev = materialise(tp_rows(ws).withColumn("period", op.period_of(IS_END)).join(ws.outcomes().select("ticker", "date", "y_bin"), ["ticker", "date"], "left"), "tp_events")
+    b = op.event_benchmarks(ws.outcomes(), ev, labels.index_forward(ws.index(), ws.cfg), ws.cfg, R, by)
+    held = ev.groupBy(*by).agg(F.avg(F.col("tp_hit").cast("double")).alias("tp_hit_rate"), F.avg("held").alias("avg_held"))
+    return op.event_stats(ev, materialise(b, "tp_benches"), ws.cfg.but(boot=B), by).join(held, list(by))
+
+
+TPF = TPS.replace("select date, avg(net) market from oc", "select date, avg(net) market_tp from oc").replace("\nmk as (", "\nmk0 as (").replace("left join mk using", "left join mk0 using").replace(
+    "avg(net-market) vs_market", "avg(net-market_tp) vs_market") + """,
+ev9 as (select case when tpa.date < date '2000-01-01' then 'IS' else 'OOS' end || '|' || tpa.tp::varchar system, tpa.*, oc.y_bin from tpa left join oc using (ticker, date)),""" + (
+    BENCH + "," + STATS).replace("from ev group", "from ev9 group") + """,
+sf as (select tps.period, tps.tp, tps.tp_hit_rate, tps.avg_held, ss.* from tps join ss on ss.system = tps.period || '|' || tps.tp::varchar)"""
+
+
+@query("E09_take_profit_stats", TPF + "\n" + report("sf", "period", "tp tp_hit_rate avg_held " + FIELDS, "n_trades n_days"))
+def take_profit_full(ws):
+    """All statistics of E06 per period and take-profit level."""
+    return tp_full_stats(ws)
+
+
 @query("E09_take_profit_choice", TPS + """,
 bi as (select * from tps where period = 'IS' and tp > 0 order by net_per_trade desc, tp desc limit 1),
 cc as (select case when (select net_per_trade from bi) > (select net_per_trade from tps where period = 'IS' and tp = 0) then (select tp from bi) end choice),

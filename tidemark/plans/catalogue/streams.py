@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.catalogue import events as ev
 from tidemark.plans.catalogue.events import COND, cool_sql
-from tidemark.plans.catalogue.registry import query, report
+from tidemark.plans.catalogue.registry import ORACLES, query, report
 from tidemark.plans.catalogue.sqltext import chain
-from tidemark.session import shared_dir
+from tidemark.session import materialise, shared_dir
 from tidemark.streaming import jobs
 
 BAR = ["ticker", "date", "open", "high", "low", "close", "volume", "turnover"]
@@ -59,6 +59,24 @@ def session_bars(ws):
     return ws.spark.read.parquet(f"{r}/bars")
 
 
+W02_SQL = ORACLES["W02_session_bars"]
+
+
+@query("W02_corrected_bars", W02_SQL[:W02_SQL.rindex("\nselect")] + """,
+lo as (select ticker, max(date) last from u group by 1),
+c0 as (select ticker, date, open, high, low, close*1.01e0 as close, volume, n_ticks + 1 n_ticks from u
+   union all select ticker, last + 1, 1e0, 2e0, 0.5e0, 1.5e0, 10e0, 3 from lo),
+c as (select * from (select *, dense_rank() over (partition by ticker order by date desc) k from c0) where k <= 5),
+v as (select * exclude (k) from c union all select u.* from u anti join c using (ticker, date))""" + "\n" + report("v", "ticker date", "open high low close volume", "n_ticks"))
+def corrected_bars(ws):
+    """Session bars after a later delivery: of a correction to all sessions and one newer one, only the newest five count."""
+    bars = materialise(session_bars(ws), "bars")
+    again = bars.withColumns({"close": F.col("close") * 1.01, "n_ticks": F.col("n_ticks") + 1})
+    newer = bars.groupBy("ticker").agg(F.date_add(F.max("date"), 1).alias("date")).select(
+        "ticker", "date", *[F.lit(v).alias(c) for c, v in (("open", 1.0), ("high", 2.0), ("low", 0.5), ("close", 1.5), ("volume", 10.0))], F.lit(3).cast("long").alias("n_ticks"))
+    return jobs.correct_sessions(bars, again.unionByName(newer))
+
+
 SETTLED = chain("oc", "exch") + """,
 l as (select sym.*, coalesce(case e.exch when 'HOSE' then 0.07e0 when 'HNX' then 0.10e0 else 0.15e0 end, 0.15e0) lim from sym left join exch e using (ticker)),
 x as (select *, lead(open) over w o1, lead(close,4) over w c4, lead(close,5) over w c5, lead(close,6) over w c6, lead(date,5) over w d5, lead(date,6) over w d6 from l window w as (partition by ticker order by date)),
