@@ -4,47 +4,53 @@ Cut at single spaces between two characters that are not white space: the public
 except for the space itself, which opens the next chunk. Ids of a text are then gathered from a flat table by numpy.
 
 A chunk is written as its string; one that opens with such a space is written without it, any other chunk as a one-element tuple.
+Where every space of a text is such a place, Arrow cuts it and numbers the distinct strings of the whole slice, so that Python only
+sees each string once a slice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 Chunk = str | tuple[str]
+# White space as str.isspace() knows it, in the syntax of Arrow's patterns.
+_WHITE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_LOOSE_SPACE = f"(?:^|{_WHITE}) | (?:$|{_WHITE})"
 
 
-class _Codes(dict):
-    """chunk -> number; new chunks are listed in `new`."""
+class Codes(dict):
+    """key -> number; new keys are listed in `new`."""
 
     def __init__(self) -> None:
-        self.new: list[Chunk] = []
+        self.new: list = []
 
-    def __missing__(self, chunk: Chunk) -> int:
-        code = self[chunk] = len(self)
-        self.new.append(chunk)
+    def __missing__(self, key):
+        code = self[key] = len(self)
+        self.new.append(key)
         return code
 
+    def of(self, keys: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
 
-class ChunkTable:
-    """Remembers the ids of chunks. encode(list of texts) -> (ids of all of them, number of ids of each).
 
-    opener: what the first kind of chunk opens with. Emptied when it holds `limit` chunks.
-    """
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (size[0] of them), start[1], ..."""
+    ends = np.cumsum(size)
+    return np.repeat(start - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], opener: str = " ", limit: int = 500_000) -> None:
-        self.encode, self.opener, self.limit = encode, opener, limit
-        self._clear()
 
-    def _clear(self) -> None:
-        self.codes, self.flat, self.used = _Codes(), np.empty(1 << 16, np.int32), 0
-        self.start, self.size, self.n = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32), 0
+class Lists:
+    """Numbered lists of ids in one flat array."""
+
+    def __init__(self) -> None:
+        self.flat, self.used = np.empty(1 << 16, np.int32), 0
+        self.start, self.size, self.n = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), 0
 
-    def _add(self, chunks: list[Chunk]) -> None:
-        if not chunks:
-            return
-        ids, sizes = self.encode([self.opener + c if isinstance(c, str) else c[0] for c in chunks])
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
         end = self.n + len(sizes)
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
@@ -56,23 +62,74 @@ class ChunkTable:
         self.flat[self.used:self.used + len(ids)] = ids
         self.used, self.n = self.used + len(ids), end
 
+    def take(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the numbered lists one after another, the size of each)."""
+        size = self.size[code]
+        return self.flat[ranges(self.start[code], size)], size
+
+
+class ChunkTable:
+    """Remembers the ids of chunks. encode(list of texts) -> (ids of all of them, number of ids of each).
+
+    opener: what the first kind of chunk opens with. Emptied when it holds `limit` chunks.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], opener: str = " ", limit: int = 800_000) -> None:
+        self.encode, self.opener, self.limit = encode, opener, limit
+        self.codes, self.lists = Codes(), Lists()
+
+    def _room(self) -> None:
+        if len(self.codes) > self.limit:
+            self.codes, self.lists = Codes(), Lists()
+
+    def _gather(self, code: np.ndarray, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.codes.new:
+            self.lists.add(*self.encode([self.opener + c if isinstance(c, str) else c[0] for c in self.codes.new]))
+            self.codes.new = []
+        flat, size = self.lists.take(code)
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
+        return flat, ends[np.concatenate([np.zeros(1, np.int64), np.cumsum(chunks)])]
+
     def gather(self, texts: list[list[Chunk]]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text begins and the last ends); texts are chunk lists."""
-        if len(self.codes) > self.limit:
-            self._clear()
-        code = np.concatenate([np.fromiter(map(self.codes.__getitem__, t), np.int64, len(t)) for t in texts]) if texts else np.empty(0, np.int64)
-        self._add(self.codes.new)
-        self.codes.new = []
-        size = self.size[code].astype(np.int64)
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(code) else 0
-        flat = self.flat[np.repeat(self.start[code] - (ends - size), size) + np.arange(total)]
-        return flat, np.concatenate([[0], ends])[np.cumsum([0, *map(len, texts)])]
+        self._room()
+        code = np.concatenate([self.codes.of(t) for t in texts]) if texts else np.empty(0, np.int64)
+        return self._gather(code, np.array([*map(len, texts)], np.int64))
 
     def ids(self, texts: list[list[Chunk]]) -> list[np.ndarray]:
         flat, cut = self.gather(texts)
         return [flat[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
+    def ids_of(self, texts: Iterable[str | None], cut: Callable[[str | None], list[Chunk]]) -> list[np.ndarray]:
+        """Ids of whole texts; the same as ids() of their chunks."""
+        a = pc.fill_null(pa.array(texts, pa.large_string(), from_pandas=True), "")
+        if not len(a):
+            return []
+        self._room()
+        if cut is spaceless_chunks:
+            loose = np.zeros(len(a), bool)
+            parts = pc.split_pattern(pc.replace_substring(a, "\n", " "), " ")
+        else:
+            loose = pc.match_substring_regex(a, _LOOSE_SPACE).to_numpy(zero_copy_only=False)
+            parts = pc.split_pattern(a.filter(pa.array(~loose)), " ")
+        offset = parts.offsets.to_numpy().astype(np.int64)
+        words = parts.flatten().dictionary_encode()
+        index, known = words.indices.to_numpy(), words.dictionary.to_pylist()
+        code = self.codes.of(known)[index] if known else np.empty(0, np.int64)
+        if cut is not spaceless_chunks and len(offset) > 1:
+            code[offset[:-1]] = self.codes.of([(known[i],) for i in index[offset[:-1]]])
+        if not loose.any():
+            flat, at = self._gather(code, np.diff(offset))
+        else:
+            lists = [cut(t) for t in a.filter(pa.array(loose)).to_pylist()]
+            start, size = np.empty(len(a), np.int64), np.empty(len(a), np.int64)
+            start[~loose], size[~loose] = offset[:-1], np.diff(offset)
+            size[loose] = [*map(len, lists)]
+            start[loose] = len(code) + np.cumsum(size[loose]) - size[loose]
+            code = np.concatenate([code, *(self.codes.of(x) for x in lists)])
+            flat, at = self._gather(code[ranges(start, size)], size)
+        return [flat[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+
 
 def spaced_chunks(text: str | None) -> list[Chunk]:
     """Chunks of a text, cut before every single space between two other characters; joined they are the text."""

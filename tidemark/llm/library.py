@@ -1,16 +1,32 @@
-"""Encoding by the tokenizers library, one call per distinct chunk and worker."""
+"""Encoding by the tokenizers library, one call per distinct chunk and worker.
+
+Most chunks hold only ASCII and Latin-1 letters. For these the two public split patterns are spelt out below in plain character
+classes, all new chunks of a slice are split by one search, and each distinct piece goes to the library's model by itself, which
+leaves out the library's slow alignment of every character. All other chunks, and any tokenizer of another layout, go through the
+whole library. Both ways give the same ids.
+"""
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from tokenizers import Tokenizer
 
-from tidemark.llm.chunks import Chunk, ChunkTable, slices
+from tidemark.llm.chunks import Chunk, ChunkTable, Codes, Lists, slices
+
+# Latin-1's letters, and the split patterns of the two public layouts over these and ASCII.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_BYTE_PIECE = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\t\n\r {_LETTERS}0-9]+|[\t\n\r ]+(?![^\t\n\r ])|[\t\n\r ]+")
+_WORD_PIECE = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[0-9]|[^ {_LETTERS}0-9]+| ")
+_BYTE_PLAIN = re.compile(rf" [!-~{_LETTERS}](?:[\t\n\r -~{_LETTERS}]*[!-~{_LETTERS}])?")
+_WORD_PLAIN = re.compile(rf"[!-~{_LETTERS}]+")
+_WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PIECES = 200_000
 
 
 def read_tokenizer(path: str) -> str:
@@ -30,15 +46,11 @@ def _byte_lengths(tokenizer: str) -> np.ndarray | None:
     return size
 
 
-def chunk_encoder(tokenizer: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+def _whole(t: Tokenizer, spelt: np.ndarray | None) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
     """Chunks are given to the library as separate words of one input, so that one call serves many of them.
 
     Ids fall to their chunks by the bytes they spell where that is exact, else by the library's word numbers.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    t = Tokenizer.from_str(tokenizer)
-    spelt = _byte_lengths(tokenizer)
-
     def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
         for at in range(0, len(chunks), 512):
@@ -57,6 +69,83 @@ def chunk_encoder(tokenizer: str) -> Callable[[list[str]], tuple[np.ndarray, np.
     return encode
 
 
+def _byte_signs() -> dict[int, str]:
+    """The byte-level alphabet: a printable sign for every byte, further ones from 256 on for the rest."""
+    printable = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in printable]
+    return {**{b: chr(b) for b in printable}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
+def _layout(tokenizer: str) -> str | None:
+    """'byte' or 'word' where the file is laid out as one of the two public tokenizers whose split is written out above."""
+    spec = json.loads(tokenizer)
+    model, pre = spec["model"], spec["pre_tokenizer"] or {}
+    if model["type"] != "BPE" or model.get("dropout") or model.get("unk_token") or model.get("continuing_subword_prefix"):
+        return None
+    if any(not a["content"].startswith("<|") or a["normalized"] or a["lstrip"] or a["rstrip"] or a["single_word"] for a in spec["added_tokens"]):
+        return None
+    level = {"type": "ByteLevel", "add_prefix_space": False}
+    if not spec["normalizer"] and {**level, "use_regex": True}.items() <= pre.items():
+        return "byte"
+    steps = pre.get("pretokenizers", [])
+    norms = (spec["normalizer"] or {}).get("normalizers", [])
+    split = {"type": "Split", "pattern": {"Regex": _WORD_SPLIT}, "behavior": "Removed", "invert": True}
+    if ([n["type"] for n in norms] == ["NFC", "Replace", "Lowercase"] and norms[1]["content"] == " " and len(steps) == 2
+            and split.items() <= steps[0].items() and {**level, "use_regex": False}.items() <= steps[1].items()):
+        return "word"
+    return None
+
+
+def chunk_encoder(tokenizer: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+    """encode(chunks) -> (ids of all of them, number of ids of each)."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    t = Tokenizer.from_str(tokenizer)
+    whole, layout = _whole(t, _byte_lengths(tokenizer)), _layout(tokenizer)
+    if layout is None:
+        return whole
+    plain, piece = (_BYTE_PLAIN, _BYTE_PIECE) if layout == "byte" else (_WORD_PLAIN, _WORD_PIECE)
+    spell, signs = t.model.tokenize, _byte_signs()
+    codes, lists = Codes(), Lists()
+
+    def sign(x: str) -> str:
+        return x.replace(" ", signs[32]) if x.isascii() and x.isprintable() else x.encode().decode("latin-1").translate(signs)
+
+    def pieces(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        nonlocal codes, lists
+        if len(codes) > PIECES:
+            codes, lists = Codes(), Lists()
+        joined = "".join(chunks) if layout == "byte" else " ".join(chunks).lower()
+        found = piece.findall(joined)
+        code = codes.of(found)
+        rows = [[] if layout == "word" and x == " " else [k.id for k in spell(sign(x))] for x in codes.new]
+        lists.add(np.array([i for r in rows for i in r], np.int32), np.array([*map(len, rows)], np.int64))
+        codes.new = []
+        ids, size = lists.take(code)
+        ends = np.cumsum([len(c) + (layout == "word") for c in chunks])  # in characters of `joined`
+        upto = np.searchsorted(np.cumsum(np.fromiter(map(len, found), np.int64, len(found))), ends, "right")
+        if layout == "word":
+            upto[-1] = len(found)
+        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
+        return ids, np.diff(total[upto], prepend=0)
+
+    def encode(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        easy = np.fromiter((plain.fullmatch(c) is not None and "<|" not in c for c in chunks), bool, len(chunks))
+        if easy.all() and len(chunks):
+            return pieces(chunks)
+        hard_ids, hard_size = whole([c for c, e in zip(chunks, easy, strict=True) if not e])
+        if not easy.any():
+            return hard_ids, hard_size
+        easy_ids, easy_size = pieces([c for c, e in zip(chunks, easy, strict=True) if e])
+        both = Lists()
+        both.add(easy_ids, easy_size)
+        both.add(hard_ids, hard_size)
+        place = np.empty(len(chunks), np.int64)
+        place[easy], place[~easy] = np.arange(len(easy_size)), len(easy_size) + np.arange(len(hard_size))
+        return both.take(place)
+
+    return encode
+
+
 _tables: dict[tuple[int, str], ChunkTable] = {}
 
 
@@ -77,5 +166,5 @@ def encoded(texts: Iterator[pd.Series], tokenizer: str, cut: Callable[[str | Non
     table = _table(tokenizer, opener)
     for series in texts:
         for a, b in slices(series):
-            yield a, table.ids([cut(t) for t in series.iloc[a:b]])
+            yield a, table.ids_of(series.iloc[a:b], cut)
         yield len(series), []
