@@ -22,9 +22,9 @@ def test_against_sql(spark, name):
         assert harness.same(QUERIES[name](spark, sf).toPandas(), harness.duck(sf).execute(ORACLES[name]).df()) is None
 
 
-def test_eleven_queries():
+def test_fourteen_queries():
     import __spark_entry__
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)} and "pipeline" in __spark_entry__.queries()
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)} and "pipeline" in __spark_entry__.queries()
 
 
 def test_pipeline_stages(spark):

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, embedding_dedup, jaccard_join, licenses, packing, quality_model, quality_rules, secrets, token_store, toxicity
+from tidemark.llm import (bpe, embedding_dedup, histogram_packing, jaccard_join, licenses, merkle, packing, periodic, quality_model, quality_rules, secrets,
+                          token_store, toxicity)
 from tidemark.llm.common import documents, table
 from tidemark.llm.library import read_tokenizer
 
@@ -76,5 +79,34 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer, end_id=1, capacity=4096)
 
 
+@query
+def op11_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    return histogram_packing.pack_documents(documents(spark, sf_dir), tokenizer, end_id=1, capacity=2048)
+
+
+def repeat_by_id(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's planted repetition: one id in ten repeats a stretch of its own words up to the end."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + k % p] for k in range(n - a)]
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.detect_runs(documents(spark, sf_dir), min_words=12, prepare=repeat_by_id))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    tampered = F.when(chosen, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.manifest(documents(spark, sf_dir), tampered)
+
+
 ORACLES["op2_quality_rules"] = quality_rules.ORACLE_SQL
 ORACLES["op6_licenses"] = licenses.oracle_sql()
