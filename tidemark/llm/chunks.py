@@ -74,7 +74,7 @@ class ChunkTable:
     opener: what the first kind of chunk opens with. Emptied when it holds `limit` chunks.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], opener: str = " ", limit: int = 800_000) -> None:
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], opener: str = " ", limit: int = 400_000) -> None:
         self.encode, self.opener, self.limit = encode, opener, limit
         self.codes, self.lists = Codes(), Lists()
 

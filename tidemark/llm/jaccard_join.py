@@ -42,6 +42,7 @@ from tidemark.session import materialise
 SKETCH_WORDS = 4
 BUCKET_KEYS = 4_000_000
 CHUNK = 256
+PACKED_KEYS, SEEN = 500_000, 200_000  # held by a task at once
 
 
 @dataclass(frozen=True)
@@ -179,17 +180,23 @@ def _shared_blocks(docs: DataFrame, like: Likeness, text_col: str, shingles: int
     plan = [partition(like.allowed(2 * (int(hi) - 1)), int(edges[max(0, j - 1)])) for j, hi in enumerate(edges[1:])]
     k = like.k
 
+    def packed_rows(keys: list[np.ndarray], sigs: list[np.ndarray]) -> pd.DataFrame:
+        key, sig = np.concatenate(keys), np.concatenate(sigs)
+        bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        order = np.argsort(bucket, kind="stable")
+        rows = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)
+        return pd.DataFrame({"bucket": [int(bucket[r[0]]) for r in rows], "keys": [key[r].tobytes() for r in rows], "sigs": [sig[r].tobytes() for r in rows]})
+
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
-        for _, sets in _frame((b["text"] for b in batches), k):
-            keys, sigs = [], []
-            for h in sets:
-                if not len(h):
-                    continue
-                sig = signature(h)
-                if sig in seen:
+        seen, words = set(), WordHash()
+        keys, sigs, held = [], [], 0
+        for batch in batches:
+            for text in batch["text"]:
+                h = shingle_hashes(text, k, words)
+                sig = signature(h) if len(h) else None
+                if sig is None or sig in seen:
                     continue
-                if len(seen) > 500_000:
+                if len(seen) > SEEN:
                     seen.clear()
                 seen.add(sig)
                 own = int(np.searchsorted(edges, len(h), "right")) - 1
@@ -197,14 +204,12 @@ def _shared_blocks(docs: DataFrame, like: Likeness, text_col: str, shingles: int
                     if plan[band].d:
                         keys.append(filled_keys(h, band, plan[band]))
                         sigs.append(np.full(len(keys[-1]), sig, np.int64))
-            if not keys:
-                continue
-            key, sig = np.concatenate(keys), np.concatenate(sigs)
-            bucket = ((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            order = np.argsort(bucket, kind="stable")
-            cut = np.flatnonzero(np.diff(bucket[order])) + 1
-            rows = np.split(order, cut)
-            yield pd.DataFrame({"bucket": [int(bucket[r[0]]) for r in rows], "keys": [key[r].tobytes() for r in rows], "sigs": [sig[r].tobytes() for r in rows]})
+                        held += len(keys[-1])
+                if held >= PACKED_KEYS:
+                    yield packed_rows(keys, sigs)
+                    keys, sigs, held = [], [], 0
+        if keys:
+            yield packed_rows(keys, sigs)
 
     def shared(group: pd.DataFrame) -> pd.DataFrame:
         key = np.frombuffer(b"".join(group["keys"]), np.uint64)
