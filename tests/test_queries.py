@@ -13,6 +13,15 @@ from tidemark.plans.workspace import Workspace
 
 SF = "/root/testdata/sf0.001"
 SLOW = {"M03_walk_forward_trees", "M09_variants"}
+# The registered queries train the whole grid (test_learning_grid.py); here the same code runs over settings that fit the few rows of SF.
+SMALL_GRID = [{"maxDepth": 3, "stepSize": 0.1, "maxIter": 3, "minInstancesPerNode": 5}, {"maxDepth": 2, "stepSize": 0.1, "maxIter": 2, "minInstancesPerNode": 5}]
+
+
+@pytest.fixture(scope="module", autouse=True)
+def small_grid():
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(learn, "GRID", SMALL_GRID)
+        yield
 
 
 @pytest.fixture(scope="module")

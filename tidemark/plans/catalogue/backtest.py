@@ -143,7 +143,7 @@ tu as (select date, avg(fwd_ret_5) univ, avg(y_bin) filter (value_top30) base_po
 mo as (select coalesce(actual > lag(actual) over (order by band), true) up from ca),
 g as (select (select count(*) from bbm) n, (select avg(net - univ) from bbm) ex, (select avg(net-univ) from bbl) exl, (select avg(hit)-avg(base_pool) from bbm) lift,
    (select mean from bs where g like '%:ic') icm, (select lo from bs where g like '%:ic') iclo, (select count(*) >= 3 and bool_and(up) from mo) mono),
-ck as (select unnest([{'ord': 1, 'name': 'enough_test_days', 'pass': coalesce(n >= 20, false)}, {'ord': 2, 'name': 'excess_positive', 'pass': coalesce(ex > 0, false)},
+ck as (select unnest([{'ord': 1, 'name': 'enough_test_days', 'pass': coalesce(n >= 60, false)}, {'ord': 2, 'name': 'excess_positive', 'pass': coalesce(ex > 0, false)},
    {'ord': 3, 'name': 'ic_positive_ci_above_zero', 'pass': coalesce(icm > 0 and iclo > 0, false)}, {'ord': 4, 'name': 'lift_positive', 'pass': coalesce(lift > 0, false)},
    {'ord': 5, 'name': 'calibration_monotone', 'pass': coalesce(mono, false)}, {'ord': 6, 'name': 'beats_logistic', 'pass': coalesce(ex > exl, false)}]) c from g)
 select c.ord::bigint ord, c.name as name, c.pass as pass, (select bool_and(c.pass) from ck) strategy_pass from ck"""

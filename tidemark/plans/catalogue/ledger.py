@@ -77,7 +77,7 @@ def fill_status(ws):
 
 
 ADMIT = AGENTS + """,
-el as (select ticker, date session from frame where liq20 >= 90000 and nbars > 20),
+el as (select ticker, date session from frame where liq20 >= 90000 and nbars >= 200),
 ad as (select f.*, i.industry, case when committed_at > f.session::timestamp + interval 2 hour then 'late_book' when side = 'BUY' and el.ticker is null then 'not_eligible'
    when side = 'BUY' and ag.agent is null then 'out_of_scope' end reject
    from fi f left join el on el.ticker = f.ticker and el.session = f.session left join ind i on i.ticker = f.ticker left join ag on ag.agent = f.agent and ag.industry = i.industry)"""
