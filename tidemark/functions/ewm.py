@@ -15,13 +15,20 @@ from pyspark.sql import functions as F
 BLOCK = 3000
 
 
-def smooth_layers(specs: list[tuple[str, str, float, int]], key: str = "ticker", order: str = "date", block: int = BLOCK) -> list[dict[str, Column]]:
+def block_number(block: int = BLOCK) -> Column:
+    """Number of the block of sessions a bar lies in, from its `pos`."""
+    return F.floor(F.col("pos") / block)
+
+
+def smooth_layers(specs: list[tuple[str, str, float, int]], key: str = "ticker", order: str | list[str] = "date", block: int = BLOCK,
+                  part: Column | None = None) -> list[dict[str, Column]]:
     """Column layers that add smoothed series; a layer only reads columns of the layers before it.
 
     specs: (output, input, alpha, minimum observations). The frame must hold `pos` (0-based bar number of the key) and
-    `_seen_<input>` (running non-null count, see `seen`). Nulls may only lead a series.
+    `_seen_<input>` (running non-null count, see `seen`). Nulls may only lead a series. part: the column that already
+    holds the block number; when the frame's other windows are ordered by (part, order), all share one sort.
     """
-    part = F.floor(F.col("pos") / block)
+    part = block_number(block) if part is None else part
     j = (F.col("pos") % block).cast("double")
     run = Window.partitionBy(key, part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     prev = Window.partitionBy(key).orderBy(part).rangeBetween(-1, -1)
@@ -40,7 +47,7 @@ def _local(x: str, a: float, j: Column, run) -> Column:
     return F.pow(b, j) * F.sum(weight * F.col(x) * F.pow(b, -j)).over(run)
 
 
-def seen(x: str, expr: Column | None = None, key: str = "ticker", order: str = "date") -> dict[str, Column]:
+def seen(x: str, expr: Column | None = None, key: str = "ticker", order: str | list[str] = "date") -> dict[str, Column]:
     """Running non-null count of a column, or of the expression that defines it in the same layer."""
     w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return {f"_seen_{x}": F.count(F.col(x) if expr is None else expr).over(w)}

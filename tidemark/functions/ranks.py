@@ -45,8 +45,8 @@ def _direct(df: DataFrame, by: list[str], specs: dict, kind: str) -> DataFrame:
 def _split(df: DataFrame, by: list[str], key: list[str], specs: dict, kind: str) -> DataFrame:
     names = list(specs)
     entries = F.array(*[
-        F.struct(F.lit(i).alias("m"), (F.col(specs[n][0]) if specs[n][1] else -F.col(specs[n][0])).alias("v"))
-        for i, n in enumerate(names)])
+        F.struct(F.lit(i).alias("m"), F.col(specs[n][0]).alias("v")) for i, n in enumerate(names)])
+    falling = [i for i, n in enumerate(names) if not specs[n][1]]
     df = materialise(df, "rank_in")
     long = (df.select(*dict.fromkeys([*by, *key]), F.explode(entries).alias("e"))
               .select(*dict.fromkeys([*by, *key]), "e.m", (F.col("e.v") + 0.0).alias("v")).where("v is not null"))
@@ -57,7 +57,9 @@ def _split(df: DataFrame, by: list[str], key: list[str], specs: dict, kind: str)
                  .withColumn("total", F.sum("bn").over(Window.partitionBy(*by, "m"))))
     inner = Window.partitionBy(*by, "m", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     below = F.col("before") + F.col("upto") - F.col("n")
-    rank = below + 1 if kind == "min" else (below + (F.col("n") + 1) / F.lit(2.0)) / F.col("total")
+    # ranges always rise; a falling rank counts the rows above, so NaN (largest) and infinities stand where one window puts them
+    ahead = F.when(F.col("m").isin(falling), F.col("total") - F.col("n") - below).otherwise(below) if falling else below
+    rank = ahead + 1 if kind == "min" else (ahead + (F.col("n") + 1) / F.lit(2.0)) / F.col("total")
     ranked = (cnt.withColumn("upto", F.sum("n").over(inner)).join(ranges, [*by, "m", "b"])
                  .select(*by, "m", "v", rank.alias("pr")))
     wide = (long.join(ranked, [*by, "m", "v"]).groupBy(*dict.fromkeys([*by, *key]))

@@ -1,8 +1,9 @@
 """Point-in-time features: windows per ticker over sessions.
 
 A bar is unique per (ticker, date), so a ticker's window never exceeds the trading calendar. Every family is a list of
-column layers; layers of equal depth share one window pass, so the whole feature frame costs one exchange (none on a
-ticker-bucketed table), one sort and five window passes.
+column layers; layers of equal depth share one window pass. Once a bar's position is known, every window is ordered by
+(block of the recursive averages, date), which is the order of dates, so the whole feature frame costs one exchange (none
+on a ticker-bucketed table) and two sorts: one for the position, one for everything else.
 """
 
 from __future__ import annotations
@@ -11,15 +12,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import Config
-from tidemark.functions.ewm import apply_layers, seen, smooth_layers
+from tidemark.functions import ewm
+from tidemark.functions.ewm import apply_layers, block_number
 from tidemark.functions.expr import change, ratio
 
 Layers = list[dict[str, Column]]
 WILDER = 1.0 / 14
+ORDER = ["_part", "date"]        # block of sessions, then date: dates in order, and the order the recursive averages need
 
 
 def by_ticker():
-    return Window.partitionBy("ticker").orderBy("date")
+    return Window.partitionBy("ticker").orderBy(ORDER)
+
+
+def seen(x: str, expr: Column | None = None) -> dict[str, Column]:
+    return ewm.seen(x, expr, "ticker", ORDER)
+
+
+def smooth_layers(specs: list[tuple[str, str, float, int]]) -> Layers:
+    return ewm.smooth_layers(specs, "ticker", "date", part=F.col("_part"))
+
+
+def derive(df: DataFrame, *families: Layers, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Add position, then the families; of nbars (1-based) and pos (0-based) only those in `keep` stay."""
+    n = F.row_number().over(Window.partitionBy("ticker").orderBy("date")).cast("long")
+    df = df.withColumns({"nbars": n, "pos": n - 1}).withColumn("_part", block_number())
+    df = apply_layers(df, *families) if families else df
+    return df.drop("_part", *[c for c in ("nbars", "pos") if c not in keep])
 
 
 def _lag(c: str, n: int = 1) -> Column:
@@ -44,11 +63,6 @@ def _full(agg, x: str, n: int, need: int | None = None) -> Column:
 
 
 # ---- families ----
-def position() -> Layers:
-    n = F.row_number().over(by_ticker()).cast("long")
-    return [{"nbars": n, "pos": n - 1}]
-
-
 def returns(spans=(1, 5, 20, 60)) -> Layers:
     return [{f"ret{n}": change(F.col("close"), _lag("close", n)) for n in spans}]
 
@@ -100,67 +114,78 @@ def activity() -> Layers:
             {"vol_ratio20": ratio(F.col("volume"), "_mv"), "log_liq20": F.log1p("liq20")}]
 
 
+def _longest(agg, x: str, lags: tuple[int, ...]) -> Column:
+    """Extreme over the frames of x that end `lags` bars ago; together they cover one longer frame."""
+    return agg(*[_lag(x, k) if k else F.col(x) for k in lags])
+
+
 def range_position() -> Layers:
-    """Place in the 20/60-session range, distance to the year's extremes, close location, swing structure."""
+    """Place in the 20/60-session range, distance to the year's extremes, close location, swing structure.
+
+    Extremes may overlap, so the frames of 20, 60 and 252 bars are put together from lagged shorter ones (10 bars, then
+    20, then 60): seventeen values a row and side in place of 332.
+    """
     c, h, l = F.col("close"), F.col("high"), F.col("low")
-    older, recent = by_ticker().rowsBetween(-19, -10), by_ticker().rowsBetween(-9, 0)
+    sides = (("hi", "high", F.max, F.greatest), ("lo", "low", F.min, F.least))
+    recent = by_ticker().rowsBetween(-9, 0)
+    ten = {f"_{s}10": agg(x).over(recent) for s, x, agg, _ in sides}
+    r20 = {f"_{s}20r": _longest(g, f"_{s}10", (0, 10)) for s, _, _, g in sides}
+    r60 = {f"_{s}60r": _longest(g, f"_{s}20r", (0, 20, 40)) for s, _, _, g in sides}
     ext = {}
-    for n in (20, 60):
-        ext[f"_hi{n}"], ext[f"_lo{n}"] = _full(F.max, "high", n), _full(F.min, "low", n)
-    ext |= {"_hi252": _full(F.max, "high", 252, 120), "_lo252": _full(F.min, "low", 252, 120),
-            "_h10": F.max("high").over(recent), "_l10": F.min("low").over(recent),
-            "_h20": F.when(_between("high", 10, 20) == 10, F.max("high").over(older)),
-            "_l20": F.when(_between("low", 10, 20) == 10, F.min("low").over(older))}
+    for s, x, _, g in sides:
+        ext |= {f"_{s}20": F.when(_between(x, 0, 20) >= 20, F.col(f"_{s}20r")), f"_{s}60": F.when(_between(x, 0, 60) >= 60, F.col(f"_{s}60r")),
+                f"_{s}252": F.when(_between(x, 0, 252) >= 120, _longest(g, f"_{s}60r", (0, 60, 120, 180, 192))),
+                f"_{s}10old": F.when(_between(x, 10, 20) == 10, _lag(f"_{s}10", 10))}
     out = {f"pos{n}": ratio(c - F.col(f"_lo{n}"), F.col(f"_hi{n}") - F.col(f"_lo{n}")) for n in (20, 60)}
     out |= {"dd252": change(c, F.col("_hi252")), "up252": change(c, F.col("_lo252")), "clv": ratio((c - l) - (h - c), h - l),
-            "hh10": change(F.col("_h10"), F.col("_h20")), "hl10": change(F.col("_l10"), F.col("_l20"))}
-    return [_counts("high", "low"), ext, out]
+            "hh10": change(F.col("_hi10"), F.col("_hi10old")), "hl10": change(F.col("_lo10"), F.col("_lo10old"))}
+    return [{**_counts("high", "low"), **ten}, r20, r60, ext, out]
 
 
 # ---- frames ----
 def add_position(df: DataFrame) -> DataFrame:
     """nbars (1-based) and pos (0-based) bar number of the ticker."""
-    return apply_layers(df, position())
+    return derive(df, keep=("nbars", "pos"))
 
 
 def add_returns(df: DataFrame, spans=(1, 5, 20, 60)) -> DataFrame:
-    return apply_layers(df, returns(spans))
+    return derive(df, returns(spans))
 
 
 def add_trend(df: DataFrame, cfg: Config) -> DataFrame:
-    return apply_layers(df, position(), trend(cfg))
+    return derive(df, trend(cfg), keep=("nbars", "pos"))
 
 
 def add_directional(df: DataFrame, cfg: Config) -> DataFrame:
-    return apply_layers(df, position(), directional(cfg))
+    return derive(df, directional(cfg), keep=("nbars", "pos"))
 
 
 def add_macd(df: DataFrame, cfg: Config) -> DataFrame:
-    return apply_layers(df, position(), macd(cfg))
+    return derive(df, macd(cfg), keep=("nbars", "pos"))
 
 
 def add_volatility(df: DataFrame) -> DataFrame:
-    return apply_layers(df, returns((1,)), volatility())
+    return derive(df, returns((1,)), volatility())
 
 
 def add_activity(df: DataFrame) -> DataFrame:
-    return apply_layers(df, activity())
+    return derive(df, activity())
 
 
 def add_range_position(df: DataFrame) -> DataFrame:
-    return apply_layers(df, range_position())
+    return derive(df, range_position())
 
 
 def add_features(bars: DataFrame, cfg: Config, *more: Layers) -> DataFrame:
-    """All families in five window passes; `more` families ride along."""
-    df = apply_layers(bars, position(), returns(), trend(cfg), directional(cfg), macd(cfg), volatility(), activity(), range_position(), *more)
-    return df.drop("ema20", "ema50", "ema200", "tr", "plus_di", "minus_di", "dx", "pos")
+    """All families side by side over one row order; `more` families ride along."""
+    df = derive(bars, returns(), trend(cfg), directional(cfg), macd(cfg), volatility(), activity(), range_position(), *more, keep=("nbars",))
+    return df.drop("ema20", "ema50", "ema200", "tr", "plus_di", "minus_di", "dx")
 
 
 def index_features(index: DataFrame, cfg: Config) -> DataFrame:
     """vni_ret5, vni_ret20, vni_dist_ema50 per date (index series: one row per date)."""
     ema = smooth_layers([("_e", "close", 2.0 / 51, 50)])
-    df = apply_layers(index, position(), returns((5, 20)), [seen("close"), *ema, {"vni_dist_ema50": change(F.col("close"), F.col("_e"))}])
+    df = derive(index, returns((5, 20)), [seen("close"), *ema, {"vni_dist_ema50": change(F.col("close"), F.col("_e"))}])
     return df.select("date", F.col("ret5").alias("vni_ret5"), F.col("ret20").alias("vni_ret20"), "vni_dist_ema50")
 
 
@@ -172,6 +197,6 @@ def add_index_features(df: DataFrame, index: DataFrame, cfg: Config) -> DataFram
 def index_outlook(index: DataFrame, cfg: Config) -> DataFrame:
     """Per date: close, change over 1/5/20 sessions, distance to EMA50 and EMA200 without a minimum history."""
     ema = smooth_layers([("_e50", "close", 2.0 / 51, 1), ("_e200", "close", 2.0 / 201, 1)])
-    df = apply_layers(index, position(), returns((1, 5, 20)), [seen("close"), *ema, {
+    df = derive(index, returns((1, 5, 20)), [seen("close"), *ema, {
         "dist_ema50": change(F.col("close"), F.col("_e50")), "dist_ema200": change(F.col("close"), F.col("_e200"))}])
     return df.select("date", "close", F.col("ret1").alias("chg1"), F.col("ret5").alias("chg5"), F.col("ret20").alias("chg20"), "dist_ema50", "dist_ema200")
