@@ -92,8 +92,8 @@ def settlement(ws):
     d = ws.frame().select("ticker", "date", "open", "close", "limit", F.lit(True).alias("signal"))
     _drop_files(d, f"{r}/in", ["1998-03-01", "2000-07-01"])
     t = ws.spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 1).parquet(f"{r}/in")
-    jobs.run_to_table(jobs.settle_stream(t, ws.cfg), f"{r}/out", f"{r}/ck").awaitTermination()
-    return ws.spark.read.parquet(f"{r}/out").select("ticker", "data_date", "settled_on", "status", "real")
+    jobs.run_to_table(jobs.settle_stream(t, ws.cfg), f"{r}/out", f"{r}/ck", ("late",)).awaitTermination()
+    return jobs.read_output(ws.spark, f"{r}/out", jobs.SETTLE_OUT).select("ticker", "data_date", "settled_on", "status", "real")
 
 
 @query("W04_cooldown_stream", chain("oc", "cal") + "," + COND + ", cr as (select * from co where cond_rsi)," + cool_sql("cr", "ticker", "ev") + "\nselect ticker, date, cast(di as bigint) di from ev")
@@ -103,8 +103,8 @@ def cooldown(ws):
     d = ev.flags(ws).where("cond_rsi").select("ticker", "date", "di")
     _drop_files(d, f"{r}/in", ["1999-06-01", "2000-06-01"])
     t = ws.spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 1).parquet(f"{r}/in")
-    jobs.run_to_table(jobs.cooldown_stream(t, ws.cfg), f"{r}/out", f"{r}/ck").awaitTermination()
-    return ws.spark.read.parquet(f"{r}/out")
+    jobs.run_to_table(jobs.cooldown_stream(t, ws.cfg), f"{r}/out", f"{r}/ck", ("late",)).awaitTermination()
+    return jobs.read_output(ws.spark, f"{r}/out", jobs.COOL_OUT)
 
 
 @query("W05_redelivery", chain("sym") + "\n" + report("sym", "ticker date", "close volume"))

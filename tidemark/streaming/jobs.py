@@ -1,18 +1,19 @@
 """Streaming forms of ingest, session closing, settlement and cooldown.
 
-The daily batch re-run becomes file streams that process what is available and stop. Keyed state is one small
-record per ticker: pending predictions (at most six sessions' worth) or the last kept event.
+The daily batch re-run becomes file streams that process what is available and stop. Keyed state is typed and small: the
+last bars of a ticker, or its last kept event, and whatever still waits for older rows. Rows that come too late, or again,
+are not dropped: they leave by the side partition `late = true` of the output.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 from tidemark.config import Config
 from tidemark.operators.ingest import batch_status, reconcile, upsert
@@ -91,68 +92,119 @@ def correct_sessions(table: DataFrame, corrections: DataFrame, n: int = 5) -> Da
     return upsert(table, newest.select(*table.columns))
 
 
-SETTLE_OUT = "ticker string, data_date date, real double, net double, settled_on date, status string"
-SETTLE_STATE = "pending string"
+SETTLE_OUT = "ticker string, data_date date, real double, net double, settled_on date, status string, late boolean"
+BAR_STATE = "day int, open double, close double, limit double, signal boolean"
 
 
-def settle_stream(bars: DataFrame, cfg: Config) -> DataFrame:
-    """Bars in date order per ticker (ticker, date, open, close, limit, signal) to settled predictions.
+def settle_stream(bars: DataFrame, cfg: Config, late_days: int = 0) -> DataFrame:
+    """Bars (ticker, date, open, close, limit, signal) in any order to settled predictions.
 
     A bar with signal = true opens a prediction; it settles on the fifth later bar, or on the sixth when the fifth is
-    locked at the floor. State holds the open predictions only: open at t+1, age, last close.
+    locked at the floor. A bar waits until its ticker has shown one `late_days` newer, so files up to that much out of
+    order give what sorted ones give; the newest bars of a ticker stay in state until then. State is typed: the last six
+    bars taken in and the waiting ones, and the day up to which bars were taken in. A bar of a day already known or passed
+    by leaves with status `late_bar` and late = true, its day as data_date; of equal days in one batch the smallest values count.
+    Null prices give null results, a null signal is none.
     """
     h, edge, fee, tax = cfg.horizon, cfg.near, cfg.fee, cfg.tax
-
-    def net(g: float) -> float:
-        return (1 - fee) * (1 + g) * (1 - fee - tax) - 1
-
-    def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        import json
-        mem = json.loads(state.get[0]) if state.exists else {"last": None, "prev": None, "open": []}
-        rows = []
-        todo = pd.concat(list(frames)).sort_values("date")
-        for b in todo.itertuples():
-            day = b.date.isoformat()
-            if mem["last"] is not None and day <= mem["last"]:
-                continue                                   # a re-delivered bar changes nothing
-            keep = []
-            for p in mem["open"]:
-                p["age"] += 1
-                if p["age"] == 1:
-                    p["entry"] = b.open
-                    p["ceiling"] = bool(b.open / p["close"] - 1 >= b.limit - edge)
-                locked = p["age"] == h and b.close / mem["prev"] - 1 <= -(b.limit - edge)
-                if p["age"] == h + 1 or (p["age"] == h and not locked):
-                    g = b.close / p["entry"] - 1
-                    rows.append((key[0], pd.Timestamp(p["day"]).date(), g, net(g), b.date, "unfilled_ceiling" if p["ceiling"] else "settled"))
-                else:
-                    keep.append(p)
-            mem["open"] = keep
-            if b.signal:
-                mem["open"].append({"day": day, "close": b.close, "age": 0, "entry": None, "ceiling": False})
-            mem["last"], mem["prev"] = day, b.close
-        state.update((json.dumps(mem),))
-        yield pd.DataFrame(rows, columns=["ticker", "data_date", "real", "net", "settled_on", "status"])
-    return bars.groupBy("ticker").applyInPandasWithState(run, SETTLE_OUT, SETTLE_STATE, "append", GroupStateTimeout.NoTimeout)
-
-
-COOL_OUT = "ticker string, date date, di bigint"
-
-
-def cooldown_stream(events: DataFrame, cfg: Config) -> DataFrame:
-    """Events (ticker, date, di) in session order to the kept ones; state is the last kept session of the ticker."""
+    cols, out_cols = [c.split()[0] for c in BAR_STATE.split(", ")], [c.split()[0] for c in SETTLE_OUT.split(", ")]
+
+    class Settle(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.bars = handle.getListState("bars", BAR_STATE)
+            self.upto = handle.getValueState("upto", "day int")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+            new = pd.concat(list(rows), ignore_index=True)
+            new["day"] = pd.to_datetime(new["date"]).to_numpy("datetime64[D]").astype(np.int64)
+            new["signal"] = new["signal"].eq(True)
+            new = new[cols].sort_values(cols, ignore_index=True)
+            held = list(self.bars.get())
+            upto = self.upto.get()[0] if self.upto.exists() else -2**31
+            again = new["day"].duplicated() | new["day"].isin([b[0] for b in held]) | (new["day"] <= upto)
+            fresh = new[~again]
+            every = pd.concat([pd.DataFrame(held, columns=cols), fresh]) if held else fresh
+            every = every.sort_values("day", ignore_index=True)
+            day, done = every["day"].to_numpy(np.int64), int((every["day"] <= upto).sum())
+            m = max(done, int((day <= day[-1] - late_days).sum())) if len(day) else 0
+            o, c, lim = (every[x].to_numpy(float)[:m] for x in ("open", "close", "limit"))
+            at = np.flatnonzero(every["signal"].to_numpy(bool)[:m])
+            at = at[at + h < m]
+            with np.errstate(all="ignore"):
+                end = at + h + (c[at + h] / c[at + h - 1] - 1 <= -(lim[at + h] - edge))
+                now = (end >= done) & (end < m)
+                at, end = at[now], end[now]
+                g = c[end] / o[at + 1] - 1
+                full = o[at + 1] / c[at] - 1 >= lim[at + 1] - edge
+            if m > done:
+                self.upto.update((int(day[m - 1]),))
+            kept = every.iloc[max(0, m - h - 1):]
+            self.bars.put([(int(d), float(a), float(b), float(x), bool(s)) for d, a, b, x, s in kept.itertuples(index=False)])
+            aside = new.loc[again, "day"].to_numpy(np.int64)
+            as_date = lambda d: pd.Series(np.asarray(d, "datetime64[D]").astype(object), dtype=object)
+            for days, real, on, status, late in ((day[at], g, as_date(day[end]), np.where(full, "unfilled_ceiling", "settled"), False),
+                                                 (aside, np.nan, None, "late_bar", True)):
+                if len(days):
+                    part = pd.DataFrame({"ticker": key[0], "data_date": as_date(days), "real": real})
+                    part["net"] = (1 - fee) * (1 + part["real"]) * (1 - fee - tax) - 1
+                    part["settled_on"], part["status"], part["late"] = on, status, late
+                    yield part[out_cols]
+
+        def close(self) -> None:
+            pass
+    return bars.groupBy("ticker").transformWithStateInPandas(Settle(), SETTLE_OUT, "Append", "None")
+
+
+COOL_OUT = "ticker string, date date, di bigint, late boolean"
+
+
+def cooldown_stream(events: DataFrame, cfg: Config, late_sessions: int = 0) -> DataFrame:
+    """Events (ticker, date, di) in any order to the kept ones.
+
+    An event waits until its ticker has shown one `late_sessions` newer, then is decided in session order. State is typed:
+    the last kept session, the session up to which events were decided, and the waiting events. An event of a session
+    already known or decided leaves with late = true. Events without a session number leave so too.
+    """
     h = cfg.horizon
 
-    def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else None
-        rows = []
-        for e in pd.concat(list(frames)).sort_values("di").itertuples():
-            if last is None or e.di - last > h:
-                last = int(e.di)
-                rows.append((key[0], e.date, last))
-        state.update((last,))
-        yield pd.DataFrame(rows, columns=["ticker", "date", "di"])
-    return events.groupBy("ticker").applyInPandasWithState(run, COOL_OUT, "last bigint", "append", GroupStateTimeout.NoTimeout)
+    class Cool(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.last = handle.getValueState("last", "kept bigint, upto bigint")
+            self.waiting = handle.getListState("waiting", "di bigint, day int")
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+            new = pd.concat(list(rows), ignore_index=True).sort_values(["di", "date"], ignore_index=True)
+            held = list(self.waiting.get())
+            kept, upto = self.last.get() if self.last.exists() else (None, None)
+            again = new["di"].isna() | new["di"].duplicated() | new["di"].isin([e[0] for e in held])
+            if upto is not None:
+                again |= new["di"] <= upto
+            fresh = new[~again]
+            days = pd.to_datetime(fresh["date"]).to_numpy("datetime64[D]").astype(np.int64)
+            todo = sorted([*held, *zip(fresh["di"].astype(int).tolist(), days.tolist())])
+            di = np.array([e[0] for e in todo], np.int64)
+            m = int((di <= di[-1] - late_sessions).sum()) if len(di) else 0
+            take, i = [], 0 if kept is None else int(np.searchsorted(di[:m], kept + h, "right"))
+            while i < m:                                   # one step per kept event, jumping over its cooldown
+                take.append(i)
+                kept = int(di[i])
+                i = int(np.searchsorted(di[:m], kept + h, "right"))
+            if m:
+                self.last.update((kept, int(di[m - 1])))
+            if todo[m:]:
+                self.waiting.put(todo[m:])
+            else:                                          # an empty list cannot be put
+                self.waiting.clear()
+            if take:
+                when = np.array([todo[i][1] for i in take], "datetime64[D]").astype(object)
+                yield pd.DataFrame({"ticker": key[0], "date": pd.Series(when, dtype=object), "di": di[take], "late": False})
+            if again.any():
+                aside = new[again]
+                yield pd.DataFrame({"ticker": key[0], "date": aside["date"], "di": aside["di"], "late": True})
+
+        def close(self) -> None:
+            pass
+    return events.groupBy("ticker").transformWithStateInPandas(Cool(), COOL_OUT, "Append", "None")
 
 
 def first_delivery(bars: DataFrame, ts: str = "ts", late: str = "5 days") -> DataFrame:
@@ -160,6 +212,22 @@ def first_delivery(bars: DataFrame, ts: str = "ts", late: str = "5 days") -> Dat
     return bars.withWatermark(ts, late).dropDuplicatesWithinWatermark(["ticker", "date"])
 
 
-def run_to_table(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    return (df.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-              .trigger(availableNow=True).start())
+STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"     # typed state needs this store
+
+
+def run_to_table(df: DataFrame, path: str, checkpoint: str, by: tuple[str, ...] = ()) -> StreamingQuery:
+    """Append to a Parquet table, once per row; by: partition columns (`late` keeps the side rows apart)."""
+    conf = df.sparkSession.conf
+    before = conf.get(STORE, None)
+    conf.set(STORE, ROCKS)                                 # a query copies the settings when it starts
+    try:
+        return (df.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+                  .partitionBy(*by).trigger(availableNow=True).start())
+    finally:
+        conf.set(STORE, before) if before else conf.unset(STORE)
+
+
+def read_output(spark: SparkSession, path: str, schema: str, late: bool = False) -> DataFrame:
+    """Rows of a keyed job's table, or those of its side partition; an absent partition is empty."""
+    return spark.read.schema(schema).parquet(path).where(F.col("late") == F.lit(late)).drop("late")
