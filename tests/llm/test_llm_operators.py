@@ -48,7 +48,7 @@ def edge_texts() -> list[str | None]:
         _github(True) + " " + _github(False), _jwt() + " eyJhbGciOi.eyJ1.zzz", "deadbeef" * 4 + " É" + "0123456789abcdef" * 3,
         "Licensed under CC BY-NC 4.0. All rights reserved. cc--by", "This work is licensed under the GNU General Public License, version 3.\nMIT License",
         " ".join(["a b c d e f g h"] * 20), "one two three four five six seven eight nine ten " * 3, "it's I'll  we've\n\n  they'd 12345 !!! ''s", "İ ſecret=abcdefgh K",
-        "Shti " * 300, "a" * 700 + "b" * 700,
+        "Shti " * 300, "a" * 700 + "b" * 700, "a<|endoftext|>b <|startoftext|>", "one  <|endoftext|>\n<|startoftext|> two",
     ]
 
 
@@ -314,7 +314,6 @@ def test_blocks_of_large_cells_meet(spark, monkeypatch):
 def _library(name: str):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return lambda text, end: np.array([*t.encode(text or "", add_special_tokens=False).ids, end], "<u4")
 
 
