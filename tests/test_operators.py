@@ -239,6 +239,28 @@ def test_bootstrap_by_hand(spark):
     assert got["g"].lo == pytest.approx(lo) and got["g"].hi == pytest.approx(hi) and got["short"].lo is None and got["short"].mean == 1.0
 
 
+def test_weighted_bootstrap_is_the_bootstrap_of_repeated_values(spark):
+    rng = np.random.default_rng(3)
+    cfg = CFG.but(boot=60)
+    weights = {"even": [1] * 14, "mixed": [int(n) for n in rng.integers(1, 9, 30)], "hot": [1] * 6 + [5000] + [1] * 6, "one": [40], "short": [3, 3, 3]}
+    days = [(g, f"d{i:04d}", n, float(v)) for g, ns in weights.items() for i, (n, v) in enumerate(zip(ns, rng.normal(size=len(ns))))]
+    days += [("mixed", "d0003x", 7, None), ("mixed", "d0004x", 0, 5.0), ("nan", "d0", 12, 1.0), ("nan", "d1", 1, float("nan")), ("nan", "d2", 4000, 2.0)]
+    elements = [(g, x) for g, _, n, x in sorted(days, key=lambda d: d[:2]) if x is not None for _ in range(n)]
+    pos, rows = {}, []
+    for g, x in elements:
+        rows.append((g, pos.setdefault(g, 0), x))
+        pos[g] += 1
+    one = {r.g: r for r in backtest.weighted_bootstrap(spark.createDataFrame(days, "g string, date string, n bigint, x double"), cfg).collect()}
+    two = {r.g: r for r in backtest.block_bootstrap(spark.createDataFrame(rows, "g string, idx bigint, x double"), cfg).collect()}
+    assert one.keys() == two.keys() and one["short"].lo is None and one["hot"].n == 5012
+    for g in one:
+        assert one[g].n == two[g].n
+        for c in ("mean", "lo", "hi"):
+            assert one[g][c] == pytest.approx(two[g][c], abs=1e-12, nan_ok=True), (g, c)
+    none = spark.createDataFrame([], "g string, date string, n bigint, x double")
+    assert backtest.weighted_bootstrap(none, cfg).collect() == []
+
+
 def test_subset_draw_is_without_replacement(spark):
     df = spark.range(200).select("id", draws.draw_subset(F.lit(12).cast("long"), F.lit(5).cast("long"), "7", F.col("id")).alias("s")).toPandas()
     for s in df.s:

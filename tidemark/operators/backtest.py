@@ -105,13 +105,21 @@ def as_series(df: DataFrame, name: str, x: str, by: tuple[str, ...] = ()) -> Dat
     return s.select("g", (F.row_number().over(Window.partitionBy("g").orderBy("date")) - 1).cast("long").alias("idx"), "x")
 
 
+def block_draws(usable: DataFrame, cfg: Config) -> DataFrame:
+    """(g, n, tail, b, start, is_last): drawn block starts of every repeat b, for usable (g, n, nb, tail)."""
+    reps = usable.select("*", F.explode(F.sequence(F.lit(0), F.lit(cfg.boot - 1))).alias("b")).repartition("g", "b")
+    return (reps.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("j"))
+                .select("g", "n", "tail", "b", (F.col("j") == F.col("nb") - 1).alias("is_last"),
+                        F.pmod(draw32(cfg.seed, F.col("g"), F.col("b"), F.col("j")), F.col("n") - cfg.block + 1).alias("start")))
+
+
 def block_bootstrap(series: DataFrame, cfg: Config) -> DataFrame:
     """(g, n, mean, lo, hi): moving-block 95 % interval of the mean; null bounds when n < 2 * block.
 
     Each element is sent to the at most `block` blocks that hold it, blocks are summed once, and every drawn block
     is one equi-join row: B * n / block rows in all, spread over the cluster.
     """
-    L, B = cfg.block, cfg.boot
+    L = cfg.block
     size = series.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"))
     usable = (size.where(F.col("n") >= 2 * L).select("g", "n", F.ceil(F.col("n") / L).alias("nb"))
                   .withColumn("tail", F.col("n") - (F.col("nb") - 1) * L))
@@ -120,16 +128,47 @@ def block_bootstrap(series: DataFrame, cfg: Config) -> DataFrame:
                   .withColumn("start", F.col("idx") - F.col("o")).where("start >= 0")
                   .where(F.col("start") <= F.col("n") - L)
                   .groupBy("g", "start").agg(F.sum("x").alias("whole"), F.sum(F.when(F.col("o") < F.col("tail"), F.col("x"))).alias("part")))
-    reps = usable.select("*", F.explode(F.sequence(F.lit(0), F.lit(B - 1))).alias("b")).repartition("g", "b")
-    draws = (reps.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("j"))
-                 .select("g", "n", "b", (F.col("j") == F.col("nb") - 1).alias("is_last"),
-                         F.pmod(draw32(cfg.seed, F.col("g"), F.col("b"), F.col("j")), F.col("n") - L + 1).alias("start")))
+    draws = block_draws(usable, cfg)
     means = (draws.join(sums, ["g", "start"])
                   .groupBy("g", "b").agg((F.sum(F.when(F.col("is_last"), F.col("part")).otherwise(F.col("whole"))) / F.max("n")).alias("m")))
     ci = means.groupBy("g").agg(F.percentile("m", 0.025).alias("lo"), F.percentile("m", 0.975).alias("hi"))   # B values
     return size.join(ci, "g", "left").select("g", "n", "mean", "lo", "hi")
 
 
+def weighted_bootstrap(days: DataFrame, cfg: Config) -> DataFrame:
+    """block_bootstrap of the series in which each day's x stands n times, in date order, without a row per element.
+
+    days (g, date, n, x) has one row per series and session; null x and n < 1 are left out. Running counts give each
+    day its positions [from, upto). A drawn block starts inside one day and reaches at most `block` days, so that day's
+    row carries the next ones and the block's sum is their values times the overlap. The day is found through equal
+    cells of about N / days positions: at most two rows a day in all, of which a draw meets two on average, so they
+    are broadcast and drawn blocks are summed where they are made.
+    """
+    L = cfg.block
+    w = Window.partitionBy("g").orderBy("date")                       # one row per session
+    steps = (days.where("x is not null and n > 0").select("g", "date", F.col("n").cast("long").alias("n"), "x")
+                 .withColumn("u0", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    steps = steps.select("g", "n", "u0", F.col("x").alias("x0"), (F.col("u0") - F.col("n")).alias("from"),
+                         *[F.lead(c, k).over(w).alias(f"{a}{k}") for k in range(1, L) for a, c in (("u", "u0"), ("x", "x"))])
+    size = steps.groupBy("g").agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("x0")) / F.sum("n")).alias("mean"),
+                                  F.count(F.lit(1)).alias("days"))
+    usable = (size.where(F.col("n") >= 2 * L).select("g", "n", F.ceil(F.col("n") / L).alias("nb"), F.ceil(F.col("n") / F.col("days")).alias("width"))
+                  .withColumn("tail", F.col("n") - (F.col("nb") - 1) * L))
+    guide = (steps.drop("n").join(F.broadcast(usable.select("g", "width")), "g")
+                  .select("*", F.explode(F.expr("sequence(`from` div width, (u0 - 1) div width)")).alias("cell")))
+    length = F.when(F.col("is_last"), F.col("tail")).otherwise(L)
+    hits = (block_draws(usable.drop("width"), cfg).withColumn("end", F.col("start") + length)
+            .join(F.broadcast(usable.select("g", "width")), "g").withColumn("cell", F.expr("start div width")).drop("width")
+            .join(F.broadcast(guide.drop("width")), ["g", "cell"]).where("`from` <= start and start < u0"))
+    total = F.col("x0") * (F.least("u0", "end") - F.col("start"))
+    for k in range(1, L):
+        part = F.least(f"u{k}", "end") - F.col(f"u{k - 1}")           # a day that the block does not reach is not read
+        total = total + F.when((F.col("end") > F.col(f"u{k - 1}")) & F.col(f"u{k}").isNotNull(), F.col(f"x{k}") * part).otherwise(0.0)
+    ci = (hits.groupBy("g", "b").agg((F.sum(total) / F.max("n")).alias("m"))
+              .groupBy("g").agg(F.percentile("m", 0.025).alias("lo"), F.percentile("m", 0.975).alias("hi")))  # B values
+    return size.join(ci, "g", "left").select("g", "n", "mean", "lo", "hi")
+
+
 def random_benchmark(d: DataFrame, basket: DataFrame, cfg: Config, repeats: int, by: tuple[str, ...] = ("date",),
                      pool: str = "value_top30", tag: str = "rand") -> DataFrame:
     """(by, rep, net): mean net of k names drawn without replacement from the date's buyable pool, k as in the basket.

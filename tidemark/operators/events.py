@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.config import Config
 from tidemark.functions.expr import change, truth
 from tidemark.functions.ranks import group_quantile
-from tidemark.operators.backtest import as_series, block_bootstrap, random_benchmark
+from tidemark.operators.backtest import as_series, block_bootstrap, random_benchmark, weighted_bootstrap
 from tidemark.operators.features import index_features
 
 # Event systems as (name, condition column, needs the market switch).
@@ -72,12 +72,9 @@ def event_benchmarks(e: DataFrame, ev: DataFrame, index_fwd: DataFrame, cfg: Con
                .join(F.broadcast(index_fwd), "date", "left"))
 
 
-def repeated_series(bench: DataFrame, name: str, x: Column, by: tuple[str, ...]) -> DataFrame:
-    """(g, idx, x): each day's value repeated once per trade."""
-    g = F.concat_ws("|", F.lit(name), *[F.col(c) for c in by])
-    d = bench.select(g.alias("g"), "date", "n", x.alias("x")).where("x is not null")
-    upto = F.sum("n").over(Window.partitionBy("g").orderBy("date"))      # one row per session
-    return d.withColumn("upto", upto).select("g", F.explode(F.sequence(F.col("upto") - F.col("n"), F.col("upto") - 1)).alias("idx"), "x")
+def weighted_days(bench: DataFrame, name: str, x: Column, by: tuple[str, ...]) -> DataFrame:
+    """(g, date, n, x): each day's value and its number of trades."""
+    return bench.select(F.concat_ws("|", F.lit(name), *[F.col(c) for c in by]).alias("g"), "date", "n", x.alias("x"))
 
 
 def event_stats(ev: DataFrame, bench: DataFrame, cfg: Config, by: tuple[str, ...] = ("system",)) -> DataFrame:
@@ -90,9 +87,9 @@ def event_stats(ev: DataFrame, bench: DataFrame, cfg: Config, by: tuple[str, ...
     day = bench.groupBy(*by).agg(F.count(F.lit(1)).alias("n_days"), *edge)
     series = None
     for o in others:
-        s = repeated_series(bench, f"ev:{o}", F.col("net") - F.col(o), by)
+        s = weighted_days(bench, f"ev:{o}", F.col("net") - F.col(o), by)
         series = s if series is None else series.unionByName(s)
-    ci = block_bootstrap(series, cfg)
+    ci = weighted_bootstrap(series, cfg)
     out = base.join(med, list(by)).join(day, list(by))
     for o in others:
         part = ci.select(F.col("g").alias("_g"), F.col("lo").alias(f"vs_{o}_lo"), F.col("hi").alias(f"vs_{o}_hi"))
