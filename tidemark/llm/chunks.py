@@ -11,6 +11,7 @@ sees each string once a slice.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +29,18 @@ class Codes(dict):
     def __init__(self) -> None:
         self.new: list = []
 
-    def __missing__(self, key):
-        code = self[key] = len(self)
-        self.new.append(key)
+    def of(self, keys: list, distinct: bool = False) -> np.ndarray:
+        """Numbers of the keys; distinct: no key stands twice."""
+        code = np.fromiter(map(self.get, keys, repeat(-1)), np.int64, len(keys))
+        at = np.flatnonzero(code < 0)
+        missing = [keys[i] for i in at.tolist()]
+        new = missing if distinct else list(dict.fromkeys(missing))
+        numbers = range(len(self), len(self) + len(new))
+        self.update(zip(new, numbers, strict=True))
+        self.new += new
+        code[at] = numbers if len(new) == len(missing) else np.fromiter(map(self.__getitem__, missing), np.int64, len(missing))
         return code
 
-    def of(self, keys: list) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
-
 
 def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """start[0], start[0] + 1, ... (size[0] of them), start[1], ..."""
@@ -114,8 +119,8 @@ class ChunkTable:
             parts = pc.split_pattern(a.filter(pa.array(~loose)), " ")
         offset = parts.offsets.to_numpy().astype(np.int64)
         words = parts.flatten().dictionary_encode()
-        index, known = words.indices.to_numpy(), words.dictionary.to_pylist()
-        code = self.codes.of(known)[index] if known else np.empty(0, np.int64)
+        index, known = words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        code = self.codes.of(known, distinct=True)[index] if known else np.empty(0, np.int64)
         if cut is not spaceless_chunks and len(offset) > 1:
             code[offset[:-1]] = self.codes.of([(known[i],) for i in index[offset[:-1]]])
         if not loose.any():

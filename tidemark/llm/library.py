@@ -107,8 +107,13 @@ def chunk_encoder(tokenizer: str) -> Callable[[list[str]], tuple[np.ndarray, np.
     spell, signs = t.model.tokenize, _byte_signs()
     codes, lists = Codes(), Lists()
 
-    def sign(x: str) -> str:
-        return x.replace(" ", signs[32]) if x.isascii() and x.isprintable() else x.encode().decode("latin-1").translate(signs)
+    def signed(new: list[str]) -> list[str]:
+        """The pieces in the byte-level alphabet, all at once; plain chunks hold no zero byte."""
+        text = "\0".join(new).encode().decode("latin-1")
+        for b, s in signs.items():
+            if b and s != chr(b):
+                text = text.replace(chr(b), s)
+        return text.split("\0") if new else []
 
     def pieces(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         nonlocal codes, lists
@@ -117,8 +122,12 @@ def chunk_encoder(tokenizer: str) -> Callable[[list[str]], tuple[np.ndarray, np.
         joined = "".join(chunks) if layout == "byte" else " ".join(chunks).lower()
         found = piece.findall(joined)
         code = codes.of(found)
-        rows = [[] if layout == "word" and x == " " else [k.id for k in spell(sign(x))] for x in codes.new]
-        lists.add(np.array([i for r in rows for i in r], np.int32), np.array([*map(len, rows)], np.int64))
+        ids, sizes = [], []
+        for x, sign in zip(codes.new, signed(codes.new), strict=True):
+            tokens = [] if layout == "word" and x == " " else spell(sign)
+            ids += [k.id for k in tokens]
+            sizes.append(len(tokens))
+        lists.add(np.array(ids, np.int32), np.array(sizes, np.int64))
         codes.new = []
         ids, size = lists.take(code)
         ends = np.cumsum([len(c) + (layout == "word") for c in chunks])  # in characters of `joined`
