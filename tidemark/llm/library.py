@@ -26,7 +26,7 @@ _WORD_PIECE = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[0-9]|[^ {_LETTE
 _BYTE_PLAIN = re.compile(rf" [!-~{_LETTERS}](?:[\t\n\r -~{_LETTERS}]*[!-~{_LETTERS}])?")
 _WORD_PLAIN = re.compile(rf"[!-~{_LETTERS}]+")
 _WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-PIECES, SLICE_CHARS = 200_000, 1_000_000  # pieces known per worker, characters encoded at once
+PIECES = 200_000
 
 
 def read_tokenizer(path: str) -> str:
@@ -174,6 +174,6 @@ def encoded(texts: Iterator[pd.Series], tokenizer: str, cut: Callable[[str | Non
     """
     table = _table(tokenizer, opener)
     for series in texts:
-        for a, b in slices(series, SLICE_CHARS):
+        for a, b in slices(series):
             yield a, table.ids_of(series.iloc[a:b], cut)
         yield len(series), []
