@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import Config
 from tidemark.functions.draws import draw_subset, explode_subset
-from tidemark.operators.backtest import random_benchmark, random_mean
+from tidemark.operators.backtest import block_draws, random_benchmark, random_mean
 
 
 def test_exploded_subset_is_floyds_subset(spark):
@@ -31,3 +31,10 @@ def test_mean_over_repeats_equals_the_repeats(spark):
     many = random_benchmark(d.join(basket.select("date", "cnt"), "date"), basket, Config(), 9, ("cnt", "date"), "every", "event")
     want = {(r["cnt"], r["date"]): r["m"] for r in many.groupBy("cnt", "date").agg(F.avg("rand_net").alias("m")).collect()}
     assert got.keys() == want.keys() == {(20, "0"), (500, "0"), (7, "1")} and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_bootstrap_draws_are_made_in_all_tasks(spark):
+    """Two thousand small rows are one partition to AQE, but each stands for thousands of draws."""
+    usable = spark.createDataFrame([("a", 50_000, 10_000, 5)], "g string, n long, nb long, tail long")
+    draws = block_draws(usable.repartition(4), Config(boot=200))
+    assert draws.select(F.spark_partition_id()).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
