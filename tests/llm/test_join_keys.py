@@ -74,3 +74,34 @@ def test_short_texts_without_anything_in_common_stay_apart(spark):
     d = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(12 + i % 9))) for i in range(800)], "doc_id long, text string")
     got = jj.near_duplicate_components(d, jj.Likeness(5, 80, 100))
     assert got.where("component_id <> doc_id").count() == 0 and got.count() == 800
+
+
+def test_narrow_sketches_bound_the_difference(spark):
+    rng = np.random.default_rng(9)
+    sets = [random_set(rng, n) for n in (3, 250, 260, 900, 1100, 5000, 9000)]
+    sets += [np.unique(np.concatenate([s[len(s) // 12:], random_set(rng, len(s) // 12 + 1)])) for s in sets]
+    rows = [(i, jj.narrow_words(jj.wide_parity(s)).tolist()) for i, s in enumerate(sets)]
+    assert max(len(w) for _, w in rows) == jj.NARROW_WORDS
+    d = spark.createDataFrame(rows, "i int, w array<long>")
+    x, y = d.toDF("i", "x"), d.toDF("j", "y")
+    got = x.crossJoin(y).select("i", "j", jj.narrow_distance(x["x"], y["y"]).alias("bits")).collect()
+    for i, j, bits in got:
+        assert bits <= len(np.setxor1d(sets[i], sets[j]))
+    assert any(bits > 0 for i, j, bits in got if len(rows[i][1]) != len(rows[j][1]))
+
+
+def test_long_texts_with_a_shared_passage_make_no_candidates(spark, monkeypatch):
+    rnd, seen, store = random.Random(3), {}, jj.materialise
+
+    def counted(df, name=None):
+        out = store(df, name)
+        seen[name] = seen.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jj, "materialise", counted)
+    passage = [f"p{rnd.randint(0, 10**6)}" for _ in range(1400)]
+    texts = [" ".join([*passage, *(f"t{i}x{k}" for k in range(700))]) for i in range(40)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = jj.near_duplicate_components(d, jj.Likeness(5, 80, 100))
+    assert got.where("component_id <> doc_id").count() == 0
+    assert seen["rest_pairs"] == 0

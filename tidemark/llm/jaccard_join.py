@@ -15,10 +15,11 @@ one. A class writes for its own band and for the next one.
 
 Within a block group no list of pairs is formed at once. First every member is verified against one hub, the member with most shared
 blocks; components of these links are formed. Only groups that still hold several components are joined with themselves, on rows of
-different components whose sizes and 256-bit parity sketches (their Hamming distance is at most |A xor B|) allow a link. Pairs inside
-one component change nothing and are never made. Candidates then meet by parity sketches of about one bit a shingle, which tell
-unrelated sets of any size apart, and what is left is verified on the whole shingle sets, so nothing is approximate but the 64-bit
-hashes. For that, the set of the more frequent side of a pair travels once per CHUNK pairs, not once per pair.
+different components whose sizes and parity sketches (their Hamming distance is at most |A xor B|) allow a link: 256 bits first, then
+about one bit a shingle up to 4096, since 256 tell no long sets apart. Texts that share a long passage share many blocks; of groups
+with the same members one is joined. Pairs inside one component change nothing and are never made. Candidates then meet by their
+whole sketches of about one bit a shingle, which tell unrelated sets of any size apart, and what is left is verified on the whole
+shingle sets, so nothing is approximate but the 64-bit hashes. For that, the set of the more frequent side of a pair travels once per CHUNK pairs, not once per pair.
 
 Null or empty text: no shingles, linked with nothing, its own component. Rows with equal id and equal text count as one document in
 drop_near_duplicates. Null ids take part in links; a component of null ids only has a null id. Other columns do not matter.
@@ -40,6 +41,7 @@ from tidemark.llm.components import connected_components
 from tidemark.session import materialise
 
 SKETCH_WORDS = 4
+NARROW_WORDS = 64     # a wide sketch inside a join
 BUCKET_KEYS = 4_000_000
 CHUNK = 256
 PACKED_KEYS, SEEN = 500_000, 200_000  # held by a task at once
@@ -97,6 +99,25 @@ def wide_distance(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
+def narrow_words(wide: bytes) -> np.ndarray:
+    """A wide sketch as signed words, folded to NARROW_WORDS of them at most."""
+    a = np.frombuffer(wide, np.int64)
+    while len(a) > NARROW_WORDS:
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    return a
+
+
+def narrow_distance(x: Column, y: Column) -> Column:
+    """Hamming distance of two narrowed sketches, the one of twice the words folded; 0 where lengths lie further apart."""
+    n = F.least(F.size(x), F.size(y))
+
+    def folded(c: Column) -> Column:
+        return F.when(F.size(c) > n, F.zip_with(F.slice(c, 1, n), F.slice(c, n + 1, n), lambda a, b: a.bitwiseXOR(b))).otherwise(c)
+
+    bits = F.aggregate(F.zip_with(folded(x), folded(y), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, v: s + v)
+    return F.when(F.greatest(F.size(x), F.size(y)) <= 2 * n, bits).otherwise(0)
+
+
 def _block_values(h: np.ndarray, band: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
     """(key, number of shingles) of every block of a sorted shingle set in one band."""
     owner = ((h >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)  # rises with h
@@ -281,6 +302,12 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _open_keys(member: DataFrame) -> DataFrame:
+    """(key): one of the blocks with the same members, if these lie in several components. member: key, sig, comp, a class once a key."""
+    groups = member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("sig")).alias("list"))
+    return groups.where("lo < hi").groupBy("size", "list").agg(F.min("key").alias("key")).select("key")
+
+
 def link_classes(docs: DataFrame, prints: DataFrame, like: Likeness, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(classes, links). classes: sig, n, doc_id and th of its first document, sketch; links: pairs of sigs.
 
@@ -301,12 +328,17 @@ def link_classes(docs: DataFrame, prints: DataFrame, like: Likeness, id_col: str
     root = connected_components(first).withColumnsRenamed({"node": "sig", "root": "comp"})
     member = members.join(root, "sig", "left").select("key", "sig", F.coalesce("comp", "sig").alias("comp"))
     member = materialise(member, "members")
-    open_keys = member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    rest = member.join(open_keys, "key", "left_semi").join(classes.select("sig", "n", *sketch), "sig")
-    x, y = (rest.select(*(F.col(c).alias(f"{p}{c}") for c in ["key", "sig", "comp", "n", *sketch])) for p in "xy")
+
+    @F.pandas_udf("array<long>")
+    def narrow(wide: pd.Series) -> pd.Series:
+        return pd.Series([narrow_words(w) for w in wide], dtype=object)
+
+    rest = member.join(_open_keys(member), "key", "left_semi").join(classes.select("sig", "n", *sketch, narrow("wide").alias("words")), "sig")
+    x, y = (rest.select(*(F.col(c).alias(f"{p}{c}") for c in ["key", "sig", "comp", "n", *sketch, "words"])) for p in "xy")
     differ = sum((F.bit_count(F.col(f"x{s}").bitwiseXOR(F.col(f"y{s}"))) for s in sketch), F.lit(0))
     may = ((F.col("xcomp") < F.col("ycomp")) & (F.col("xn") * like.den >= F.col("yn") * like.num) & (F.col("yn") * like.den >= F.col("xn") * like.num)
-           & (differ * (like.den + like.num) <= (F.col("xn") + F.col("yn")) * (like.den - like.num)))
+           & (differ * (like.den + like.num) <= (F.col("xn") + F.col("yn")) * (like.den - like.num))
+           & (narrow_distance(F.col("xwords"), F.col("ywords")) * (like.den + like.num) <= (F.col("xn") + F.col("yn")) * (like.den - like.num)))
     far = x.join(y, (F.col("xkey") == F.col("ykey")) & may).select(*_pair("xsig", "ysig")).distinct().join(near, ["a", "b"], "left_anti")
     second = materialise(_verified(materialise(far, "rest_pairs"), docs, classes, like, id_col, text_col), "rest_links")
     return classes, first.union(second)
