@@ -1,9 +1,13 @@
 """Queries that read few columns derive those alone; the wide tables are built for queries that read them."""
 
 import pytest
+from harness import same
 
 from tidemark.plans import workspace
-from tidemark.plans.catalogue import QUERIES
+from tidemark.plans.catalogue import QUERIES, backtest
+from tidemark.plans.workspace import Workspace
+
+SF = "/root/testdata/sf0.001"
 
 
 def stored(sf: str) -> set[str]:
@@ -16,7 +20,7 @@ def fresh():
     return "/root/testdata/./sf0.001"
 
 
-@pytest.mark.parametrize("name", ["U11_trend_score", "U14_regime_counts"])
+@pytest.mark.parametrize("name", ["U11_trend_score", "U14_regime_counts", "B03_period_summary"])
 def test_no_wide_table_is_built(spark, fresh, name):
     assert QUERIES[name](spark, fresh).count() > 0 and "frame" not in stored(fresh)
 
@@ -24,3 +28,8 @@ def test_no_wide_table_is_built(spark, fresh, name):
 def test_only_needed_windows_are_planned(spark, fresh):
     plan = QUERIES["U11_trend_score"](spark, fresh)._jdf.queryExecution().optimizedPlan().toString()
     assert "stddev_samp" not in plan and "macd" not in plan and "y_bin" not in plan
+
+
+def test_named_columns_equal_the_wide_table(spark, fresh):
+    cols, wide = backtest.RULES, Workspace(spark, SF).outcomes()
+    assert same(Workspace(spark, fresh).outcomes(*cols).toPandas(), wide.select(*cols).toPandas()) is None
