@@ -4,7 +4,7 @@ import pytest
 from harness import same
 
 from tidemark.plans import workspace
-from tidemark.plans.catalogue import QUERIES, backtest
+from tidemark.plans.catalogue import QUERIES, backtest, events
 from tidemark.plans.workspace import Workspace
 
 SF = "/root/testdata/sf0.001"
@@ -20,7 +20,7 @@ def fresh():
     return "/root/testdata/./sf0.001"
 
 
-@pytest.mark.parametrize("name", ["U11_trend_score", "U14_regime_counts", "B03_period_summary"])
+@pytest.mark.parametrize("name", ["U11_trend_score", "U14_regime_counts", "L04_relative_label", "B03_period_summary"])
 def test_no_wide_table_is_built(spark, fresh, name):
     assert QUERIES[name](spark, fresh).count() > 0 and "frame" not in stored(fresh)
 
@@ -31,5 +31,5 @@ def test_only_needed_windows_are_planned(spark, fresh):
 
 
 def test_named_columns_equal_the_wide_table(spark, fresh):
-    cols, wide = backtest.RULES, Workspace(spark, SF).outcomes()
+    cols, wide = dict.fromkeys((*backtest.RULES, *events.EVENTS)), Workspace(spark, SF).outcomes()
     assert same(Workspace(spark, fresh).outcomes(*cols).toPandas(), wide.select(*cols).toPandas()) is None

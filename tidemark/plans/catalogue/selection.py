@@ -53,13 +53,13 @@ rk as (select *, rank() over (partition by date order by p_up_5 desc) rank_all,
 @query("P03_ranks", chain("scored") + "," + RANKS + "\n" + report("rk", "ticker date", "", "rank_all rank_pool"))
 def ranks(ws):
     """Competition ranks in the universe and in the pool."""
-    return op.add_ranks(ws.scored(), "p_up_5", ws.cfg).select(*K, "rank_all", "rank_pool")
+    return op.add_ranks(ws.scored(*K, "p_up_5", "value_top30"), "p_up_5", ws.cfg).select(*K, "rank_all", "rank_pool")
 
 
 @query("P03_ranks_by_value_range", chain("scored") + "," + RANKS + "\n" + report("rk", "ticker date", "", "rank_all rank_pool"))
 def ranks_split(ws):
     """The same ranks by counted value ranges."""
-    return op.add_ranks(ws.scored(), "p_up_5", ws.cfg.but(names_bound=10**12)).select(*K, "rank_all", "rank_pool")
+    return op.add_ranks(ws.scored(*K, "p_up_5", "value_top30"), "p_up_5", ws.cfg.but(names_bound=10**12)).select(*K, "rank_all", "rank_pool")
 
 
 DAYS = """

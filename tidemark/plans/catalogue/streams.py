@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tidemark.operators import universe
 from tidemark.plans.catalogue import events as ev
 from tidemark.plans.catalogue.events import COND, cool_sql
 from tidemark.plans.catalogue.registry import ORACLES, query, report
@@ -89,7 +90,7 @@ y as (select ticker, date data_date, case when c5/c4-1 <= -(lim-0.005e0) then c6
 def settlement(ws):
     """Every bar as a prediction, settled from keyed state."""
     r = _root(ws)
-    d = ws.frame().select("ticker", "date", "open", "close", "limit", F.lit(True).alias("signal"))
+    d = universe.add_exchange(ws.symbols(), ws.exchanges()).select("ticker", "date", "open", "close", "limit", F.lit(True).alias("signal"))
     _drop_files(d, f"{r}/in", ["1998-03-01", "2000-07-01"])
     t = ws.spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 1).parquet(f"{r}/in")
     jobs.run_to_table(jobs.settle_stream(t, ws.cfg), f"{r}/out", f"{r}/ck", ("late",)).awaitTermination()
@@ -100,7 +101,7 @@ def settlement(ws):
 def cooldown(ws):
     """Kept events from keyed state."""
     r = _root(ws)
-    d = ev.flags(ws).where("cond_rsi").select("ticker", "date", "di")
+    d = ev.flags(ws, ev.EVENTS).where("cond_rsi").select("ticker", "date", "di")
     _drop_files(d, f"{r}/in", ["1999-06-01", "2000-06-01"])
     t = ws.spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 1).parquet(f"{r}/in")
     jobs.run_to_table(jobs.cooldown_stream(t, ws.cfg), f"{r}/out", f"{r}/ck", ("late",)).awaitTermination()
