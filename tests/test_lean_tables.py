@@ -20,7 +20,7 @@ def fresh():
     return "/root/testdata/./sf0.001"
 
 
-@pytest.mark.parametrize("name", ["U11_trend_score", "U14_regime_counts", "L04_relative_label", "B03_period_summary"])
+@pytest.mark.parametrize("name", ["U11_trend_score", "U14_regime_counts", "L04_relative_label", "B03_period_summary", "T04_order_sequence"])
 def test_no_wide_table_is_built(spark, fresh, name):
     assert QUERIES[name](spark, fresh).count() > 0 and "frame" not in stored(fresh)
 
