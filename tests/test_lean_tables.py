@@ -4,7 +4,7 @@ import pytest
 from harness import same
 
 from tidemark.plans import workspace
-from tidemark.plans.catalogue import QUERIES, backtest, events
+from tidemark.plans.catalogue import QUERIES, backtest, events, ingest
 from tidemark.plans.workspace import Workspace
 
 SF = "/root/testdata/sf0.001"
@@ -33,3 +33,8 @@ def test_only_needed_windows_are_planned(spark, fresh):
 def test_named_columns_equal_the_wide_table(spark, fresh):
     cols, wide = dict.fromkeys((*backtest.RULES, *events.EVENTS)), Workspace(spark, SF).outcomes()
     assert same(Workspace(spark, fresh).outcomes(*cols).toPandas(), wide.select(*cols).toPandas()) is None
+
+
+def test_order_books_are_stored_compressed(spark, fresh):
+    files = spark.read.text(ingest.order_book_path(Workspace(spark, fresh))).inputFiles()
+    assert files and all(f.endswith(".json.gz") for f in files)
