@@ -15,11 +15,19 @@ from tidemark.session import materialise
 START, SECOND = "2000-10-02", "2001-08-06"       # first logged date; dates from SECOND on arrive in a later, live batch
 DAY = "2001-08-06"                               # date rolled back
 BAD = "sid % 10 = 2"
+# Scored columns that the logs read, with those behind an outcome.
+LOGGED = ("ticker", "date", "sid", "industry", "close", "p_up_5", "p_lr", "value_top30", "value_score", "regime", "trend_score", "rsi14", "vol_ratio20",
+          "fwd_ret_5", "y_bin", "limit", "ret_t5_day", "open_t1", "close_t6", "open_gap_t1")
+
+
+def _outcomes(ws):
+    """Outcomes of the rows the logs read, so that one stored table serves both."""
+    return labels.add_outcome(ws.scored(*LOGGED).where("fwd_ret_5 is not null"), ws.cfg)
 
 
 def _log(ws):
     """Two batches: backfill before SECOND, then a live batch whose earlier dates are ignored."""
-    sc, cfg = ws.scored(), ws.cfg
+    sc, cfg = ws.scored(*LOGGED), ws.cfg
     sw, cal = events.market_switch(ws.index(), cfg), labels.session_index(sc)
     bad = sc.where(BAD).select("ticker").distinct()
     dates = sc.select("date").distinct().where(F.col("date") >= F.lit(START).cast("date"))
@@ -36,18 +44,18 @@ def recorded(ws: Workspace):
 @_stored
 def settled(ws: Workspace):
     last = ws.panel().select(F.max("date")).scalar()
-    return materialise(op.settle(recorded(ws), ws.outcomes(), last, ws.cfg), "log")
+    return materialise(op.settle(recorded(ws), _outcomes(ws), last, ws.cfg), "log")
 
 
 @_stored
 def signals(ws: Workspace):
     """Picks of every logged date as a signal log, settled."""
-    sel = selection.capped_topk(selection.add_ranks(ws.scored().where(F.col("date") >= F.lit(START).cast("date")), "p_up_5", ws.cfg), "p_up_5", ws.cfg)
+    sel = selection.capped_topk(selection.add_ranks(ws.scored(*LOGGED).where(F.col("date") >= F.lit(START).cast("date")), "p_up_5", ws.cfg), "p_up_5", ws.cfg)
     act = F.when(F.col("regime") == "Downtrend", "watch").otherwise("consider")
     log = sel.select(F.col("date").alias("data_date"), "ticker", "rank_pool", "p_up_5", "value_score", "trend_score", "regime", act.alias("action"),
                      F.lit("").alias("reasons"), F.lit(True).alias("gate_pass"), F.lit("base").alias("model_version"), F.lit("open").alias("status"),
                      F.lit(None).cast("date").alias("entry_date_est"), *[F.lit(None).cast("double").alias(c) for c in op.SIGNAL_OUTCOME])
-    return materialise(op.settle_signals(log, ws.outcomes()), "signals")
+    return materialise(op.settle_signals(log, _outcomes(ws)), "signals")
 
 
 LOG = chain("oc", "cal") + f""",
@@ -86,7 +94,7 @@ select distinct date from scored where date >= date '{START}' and date < (select
 def backfill_dates(ws):
     """Dates of the test period the log does not hold yet."""
     log = recorded(ws).where(F.col("data_date") < F.lit(SECOND).cast("date"))
-    return op.backfill_dates(ws.scored(), log, START)
+    return op.backfill_dates(ws.scored(*LOGGED), log, START)
 
 
 @query("V04_fill_descriptive", LOG + "\n" + report("lg", "data_date ticker industry regime", "value_score trend_score"))
@@ -95,7 +103,7 @@ def fill_descriptive(ws):
     lost = F.col("data_date") < F.lit("2001-06-01").cast("date")
     log = recorded(ws)
     holed = log.withColumns({c: F.when(~lost, F.col(c)) for c in op.DESC})
-    return op.fill_descriptive(holed, ws.scored()).select("data_date", "ticker", "industry", "regime", "value_score", "trend_score")
+    return op.fill_descriptive(holed, ws.scored(*LOGGED)).select("data_date", "ticker", "industry", "regime", "value_score", "trend_score")
 
 
 @query("V05_settle", LOG + "\n" + report("st", "data_date ticker status settled_on", '"real" net y_bin'))
@@ -121,7 +129,7 @@ sg as (select s.date data_date, s.ticker, rank_pool, s.p_up_5, s.regime, case wh
                                                        "data_date ticker status", "net", "rank_pool"))
 def append_signals(ws):
     """Re-run of one date: its rows are replaced."""
-    day = ws.scored().where(F.col("date") == F.lit(DAY).cast("date"))
+    day = ws.scored(*LOGGED).where(F.col("date") == F.lit(DAY).cast("date"))
     sel = selection.capped_topk(day, "p_lr", ws.cfg).select("ticker", F.lit(None).cast("long").alias("rank_pool"), "p_up_5", "value_score", "trend_score", "regime",
                                                            F.lit("watch").alias("action"), F.lit("").alias("reasons"), F.lit(None).cast("date").alias("entry_date_est"))
     return op.append_signals(signals(ws), sel, DAY, False, ws.cfg).select("data_date", "ticker", "status", "rank_pool", "net")
