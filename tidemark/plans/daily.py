@@ -51,13 +51,20 @@ def checked(state: DailyState, status: DataFrame | None, today: str, cfg: Config
     return replace(state, quarantine=materialise(q, "quarantine"))
 
 
+# Scored columns that a run reads.
+READ = ("ticker", "date", "industry", "close", "limit", "ret20", "p_up_5", "p_lr", "value_top30", "value_score", "value_mode", "regime", "trend_score", "rsi14",
+        "vol_ratio20", "atr14_pct", "liq20", "near_ceiling", "near_floor", "exch_src", "open_t1", "close_t6", "open_gap_t1", "ret_t5_day", "fwd_ret_5", "y_bin")
+
+
 def scored_frame(state: DailyState, score: Callable[[DataFrame], DataFrame], cfg: Config, now_utc: str, asof: str | None = None) -> DataFrame:
-    """Eligible rows with features, cross-section, labels and scores, from what was known at that moment."""
+    """Eligible rows with features, cross-section, labels and scores, from what was known at that moment (a plan, not stored)."""
     bars = universe.select_symbols(quality.visible(state.panel, now_utc, asof), cfg)
     index = quality.visible(state.index, now_utc, asof)
     exch = universe.infer_exchange(bars, cfg, state.exchange_map)
-    f = features.add_index_features(labels.add_labels(features.add_features(bars, cfg), cfg), index, cfg)
-    return materialise(score(universe.build_universe(materialise(f, "features"), exch, state.industry, cfg)), "scored")
+    # the small dimensions join the narrow bars: joined after the windows they would share one oversized code stage
+    bars = features.add_index_features(universe.add_exchange(bars, exch), index, cfg)
+    f = universe.add_flags(labels.add_labels(features.add_features(bars, cfg), cfg), cfg)
+    return score(universe.cross_section(f, state.industry, cfg))
 
 
 def report_table(scored: DataFrame, picks: DataFrame, gate_pass: bool, quarantine: DataFrame, cfg: Config) -> DataFrame:
@@ -79,8 +86,9 @@ def run_daily(state: DailyState, score: Callable[[DataFrame], DataFrame], cfg: C
     state = checked(state, status, now_utc[:10], cfg)
     names = state.panel.groupBy("date").count().agg(F.max("count")).first()[0]              # measured: decides the plan of the cross-sections
     cfg = cfg.but(names_bound=names or 0)
-    sc = scored_frame(state, score, cfg, now_utc, asof)
-    out = materialise(labels.add_outcome(sc.where("fwd_ret_5 is not null"), cfg), "outcomes")
+    wide = scored_frame(state, score, cfg, now_utc, asof)       # all columns, for the caller to write
+    sc = materialise(wide.select(*READ), "scored")
+    out = labels.add_outcome(sc.where("fwd_ret_5 is not null"), cfg)
     test = out.where(F.col("date") >= F.lit(cfg.test_start).cast("date"))
     gate = materialise(backtest.gate(backtest.strategy_report(test, "p_up_5", cfg, "model"), backtest.strategy_report(test, "p_lr", cfg, "logistic"), cfg), "gate")
     g = gate.first()                                           # one row
@@ -96,4 +104,4 @@ def run_daily(state: DailyState, score: Callable[[DataFrame], DataFrame], cfg: C
     log = materialise(livelog.settle(livelog.fill_descriptive(log, sc), out, F.lit(last), cfg), "log")
     ev = materialise(livelog.evaluate(log, cfg), "evaluations")
     state = replace(state, log=log, signals=materialise(signals, "signals"))
-    return state, {"scored": sc, "gate": gate, "report": table, "evaluations": ev, "live_summary": livelog.live_summary(ev), "regimes": universe.regime_counts(sc)}
+    return state, {"scored": wide, "gate": gate, "report": table, "evaluations": ev, "live_summary": livelog.live_summary(ev), "regimes": universe.regime_counts(sc)}
