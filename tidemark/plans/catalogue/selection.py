@@ -32,7 +32,8 @@ def quarantined(ws):
        + "\n" + report("sel", "ticker date", "ret20", "rank_sel"))
 def capped_topk(ws):
     """Ten best of the pool per date, three per industry, quarantined names left out."""
-    return op.capped_topk(ws.scored(), "ret20", ws.cfg, exclude=quarantined(ws)).select(*K, "ret20", "rank_sel")
+    s = ws.scored(*K, "industry", "value_top30", "ret20", "sid")
+    return op.capped_topk(s, "ret20", ws.cfg, exclude=s.where(BAD).select("ticker").distinct()).select(*K, "ret20", "rank_sel")
 
 
 SOFT = f"""
